@@ -38,7 +38,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(floor(c_custkey / 3) AS bigint) AS CustomerID",
         "CASE c_custkey % 3 WHEN 0 THEN 'Savings' WHEN 1 THEN 'Current' ELSE 'Business' END AS AccountType",
         "c_acctbal * 10 AS Balance",
-        "CAST((c_custkey % 11) * 1000 AS double) AS ODLimit",
+        "CAST((c_custkey % 11) * 200 AS double) AS ODLimit",
         "CAST(300 + (c_custkey * 37) % 550 AS bigint) AS CreditScore",
         "CASE c_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' ELSE 'INR' END AS Currency",
         "date_sub(DATE '2001-08-01', CAST(c_custkey % 1500 AS int)) AS DateOpened",
@@ -69,7 +69,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS PaymentID",
         "CAST(l_orderkey AS string) AS FromAccountID",
-        "CAST(l_partkey * 10 + l_suppkey % 10 AS string) AS ToAccountID",
+        "CAST(l_partkey * 100 + l_suppkey % 100 AS string) AS ToAccountID",
         "l_extendedprice AS Amount",
         "CASE l_suppkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' ELSE 'INR' END AS Currency",
         "CASE l_suppkey % 4 WHEN 0 THEN 1.0D WHEN 1 THEN 1.1D WHEN 2 THEN 1.3D ELSE 0.012D END AS ExchangeRate",
