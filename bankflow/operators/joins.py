@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankflow.operators.accounts import (
-    customer_segment_transactions,
-    excessive_fee_payments,
-    merchant_payment_summary,
-)
+from bankflow.functions import EXACT, ratio
+from bankflow.operators.accounts import excessive_fee_payments
 from bankflow.plans import DEFAULT_CHUNK, crowded_keys, fan_out_left, materialize, split_factors
 from bankflow.plans.skew import BASE, left_join
 
@@ -58,22 +55,34 @@ def accounts_with_flag(accounts: DataFrame, flagged: DataFrame, column: str, chu
 
 
 def payment_summaries(payments: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merchant and segment totals, written out so that their true size decides between broadcast and shuffle."""
-    merchants = merchant_payment_summary(payments).select(
-        "MerchantName",
-        F.col("TotalPayments").alias("MerchantTotalPayments"),
-        F.col("AvgPaymentAmount").alias("MerchantAvgPaymentAmount"),
-        F.col("MaxPaymentAmount").alias("MerchantMaxPaymentAmount"),
-        F.col("MinPaymentAmount").alias("MerchantMinPaymentAmount"),
-        F.col("TotalTransactions").alias("MerchantTotalTransactions"),
+    """Merchant and segment totals from one pass over the payments.
+
+    The totals per merchant and segment are written out; both results are groupings of that table, whose size then
+    decides between broadcast and shuffle.
+    """
+    amount = F.col("Amount")
+    totals = materialize(
+        payments.groupBy("MerchantName", "CustomerSegment").agg(
+            F.sum(amount.cast(EXACT)).alias("_sum"), F.count(amount).alias("_amounts"),
+            F.max(amount).alias("_max"), F.min(amount).alias("_min"), F.count(F.lit(1)).alias("_rows"),
+        ),
+        "payment_totals",
+    )
+    total = F.sum("_sum").cast("double")
+    average = ratio(total, F.sum("_amounts"))
+    merchants = totals.groupBy("MerchantName").agg(
+        total.alias("MerchantTotalPayments"),
+        average.alias("MerchantAvgPaymentAmount"),
+        F.max("_max").alias("MerchantMaxPaymentAmount"),
+        F.min("_min").alias("MerchantMinPaymentAmount"),
+        F.sum("_rows").alias("MerchantTotalTransactions"),
     )
-    segments = customer_segment_transactions(payments).select(
-        "CustomerSegment",
-        F.col("TotalTransactions").alias("SegmentTotalTransactions"),
-        F.col("TotalAmount").alias("SegmentTotalAmount"),
-        F.col("AvgTransactionAmount").alias("SegmentAvgTransactionAmount"),
+    segments = totals.groupBy("CustomerSegment").agg(
+        F.sum("_rows").alias("SegmentTotalTransactions"),
+        total.alias("SegmentTotalAmount"),
+        average.alias("SegmentAvgTransactionAmount"),
     )
-    return materialize(merchants, "merchants"), materialize(segments, "segments")
+    return merchants, segments
 
 
 def payments_with_derived(payments: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:

@@ -77,8 +77,12 @@ class RawLayer:
         return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths).drop("batch")
 
     def commit(self, result: LoadResult, load_dt: dt.date) -> None:
-        row = (result.table_name, result.batch, result.row_count, result.mark, load_dt)
-        self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(result.table_name).alias("table_name"), F.lit(result.batch).cast("long").alias("batch"),
+            F.lit(result.row_count).cast("long").alias("row_count"), F.lit(result.mark).alias("mark"),
+            F.lit(load_dt).alias("load_dt"),
+        )
+        entry.write.mode("append").parquet(f"{self.root}/log")
 
 
 def stamp(df: DataFrame, as_of: dt.datetime) -> DataFrame:

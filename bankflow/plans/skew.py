@@ -15,24 +15,30 @@ from pyspark.sql import functions as F
 
 from bankflow.plans.workspace import materialize
 
-DEFAULT_CHUNK = 200_000
+DEFAULT_CHUNK = 1_000_000
+
+# Rows that a key at the limit is expected to leave in the sample; half of them mark it as crowded.
+_SAMPLED_AT_LIMIT = 2_000
 
 BASE = "base"
 
 
 def crowded_keys(inputs: list[DataFrame], key: str, chunk: int) -> DataFrame | None:
-    """Keys with more than ``chunk`` rows in any input, or None.
+    """Keys that may have more than ``chunk`` rows in an input, or None.
 
-    Counts are combined before the shuffle. At most (all rows / chunk) keys come back, and the written table carries its
-    size, so joins against it are broadcast only while it is small.
+    The check reads the key column alone and counts a sample of it. It only picks the layout of a join: every row is
+    joined either way, and a key that is picked is then counted in full. At most about (2 x all rows / chunk) keys come
+    back; the written table carries its size, so joins against it are broadcast only while it is small.
     """
+    fraction = min(1.0, _SAMPLED_AT_LIMIT / chunk)
+    limit = chunk if fraction == 1.0 else fraction * chunk / 2
     counted = [
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > chunk) & F.col(key).isNotNull())
-        .select(key)
+        df.select(key).sample(fraction, seed=17).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") > limit) & F.col(key).isNotNull()).select(key)
         for df in inputs
     ]
-    found = materialize(reduce(DataFrame.unionByName, counted).distinct(), "crowded_keys")
-    return None if found.isEmpty() else found
+    found = reduce(DataFrame.unionByName, counted).distinct()
+    return None if found.isEmpty() else materialize(found, "crowded_keys")
 
 
 def split_factors(inputs: dict[str, DataFrame], key: str, chunk: int, crowded: DataFrame) -> DataFrame:

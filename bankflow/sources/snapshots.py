@@ -26,10 +26,15 @@ class SnapshotTable:
         return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
 
     def version(self) -> int | None:
-        return self._commits().agg(F.max("version")).first()[0]
+        return self._state("")[0]
 
     def has_batch(self, batch: str) -> bool:
-        return not self._commits().filter(F.col("batch") == batch).isEmpty()
+        return self._state(batch)[1]
+
+    def _state(self, batch: str) -> tuple[int | None, bool]:
+        """Current version, and whether ``batch`` is committed."""
+        row = self._commits().agg(F.max("version"), F.bool_or(F.col("batch") == batch)).first()
+        return row[0], bool(row[1])
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current snapshot (or an earlier one); an empty table before the first commit."""
@@ -40,12 +45,13 @@ class SnapshotTable:
 
     def commit(self, df: DataFrame, batch: str) -> int:
         """Write ``df`` as the next version. A batch that was committed before is not written again."""
-        current = self.version()
-        if current is not None and self.has_batch(batch):
+        current, done = self._state(batch)
+        if done:
             return current
         version = 0 if current is None else current + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.spark.createDataFrame([(version, batch)], _COMMITS).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(batch).alias("batch")
         )
+        entry.write.mode("append").parquet(f"{self.path}/commits")
         return version
