@@ -74,12 +74,13 @@ def ledger_flattened(
     keys = base.select(ACCOUNT_KEY).distinct()
     few_accounts = keys.count() <= MAX_BROADCAST_KEYS
 
-    def of_base(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(keys), ACCOUNT_KEY, "left_semi") if few_accounts else df
+    def of_base(df: DataFrame, name: str) -> DataFrame:
+        """Rows of accounts in overdraft. A thinned table is written once and then read by all its uses."""
+        return materialize(df.join(F.broadcast(keys), ACCOUNT_KEY, "left_semi"), name) if few_accounts else df
 
     merchants, segments = payment_summaries(payments)
-    touched = of_base(payments_by_account(payments))
-    traded = of_base(transactions.withColumn(ACCOUNT_KEY, F.col("AccountID")))
+    touched = of_base(payments_by_account(payments), "overdraft_payments")
+    traded = of_base(transactions.withColumn(ACCOUNT_KEY, F.col("AccountID")), "overdraft_transactions")
 
     # The segment is not in the output, so its figures replace it before the rows are made distinct.
     paid = (
