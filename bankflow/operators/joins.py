@@ -103,11 +103,14 @@ def full_outer_parts(
     Both conditions read the key of ``first``, so the last two never meet each other. A full outer join cannot be split
     at a hot key; the left joins and anti joins here can. Rows must be distinct within each input.
     """
-    inputs = {BASE: first, "second": second, "third": third}
+    # Rows without a key meet nothing. Kept apart, they do not all travel to the one partition of NULL.
+    keyed, unkeyed = first.filter(F.col(key).isNotNull()), first.filter(F.col(key).isNull())
+    inputs = {BASE: keyed, "second": second, "third": third}
     crowded = crowded_keys(list(inputs.values()), key, chunk)
     factors = None if crowded is None else split_factors(inputs, key, chunk, crowded)
-    matched = fan_out_left(first, {"second": second, "third": third}, key, factors)
-    first_keys = first.select(key).distinct()
+    matched = fan_out_left(keyed, {"second": second, "third": third}, key, factors)
+    matched = matched.unionByName(unkeyed, allowMissingColumns=True)
+    first_keys = keyed.select(key).distinct()
     return matched, second.join(first_keys, key, "left_anti"), third.join(first_keys, key, "left_anti")
 
 

@@ -7,6 +7,8 @@ import random
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bankflow.plans import materialize
+
 ACCOUNTS = (
     "AccountID bigint, CustomerID bigint, AccountType string, Balance double, ODLimit double, CreditScore bigint, "
     "Currency string, DateOpened date, ManagerID bigint"
@@ -70,9 +72,9 @@ def bank(spark: SparkSession, seed: int) -> dict[str, DataFrame]:
     ]
     payments += payments[:3]
     tables = {
-        "accounts": spark.createDataFrame(accounts, ACCOUNTS),
-        "transactions": spark.createDataFrame(transactions, TRANSACTIONS),
-        "payments": spark.createDataFrame(payments, PAYMENTS),
+        "accounts": materialize(spark.createDataFrame(accounts, ACCOUNTS).coalesce(1), "accounts"),
+        "transactions": materialize(spark.createDataFrame(transactions, TRANSACTIONS).coalesce(1), "transactions"),
+        "payments": materialize(spark.createDataFrame(payments, PAYMENTS).coalesce(1), "payments"),
     }
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

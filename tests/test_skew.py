@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -13,8 +14,6 @@ from bankflow.plans import crowded_keys, fan_out_left, split_factors
 from bankflow.plans.skew import BASE, left_join
 from tests.helpers import assert_same, bank
 
-import datetime as dt
-
 AS_OF = dt.date(2001, 8, 1)
 CHUNKS = [1, 3, 1_000_000]
 
@@ -74,7 +73,9 @@ def test_either_end_join(spark, chunk):
 
 def test_payment_to_oneself_matches_once(spark):
     accounts = bank(spark, 1)["accounts"].filter("AccountID = 5").limit(1)
-    payments = spark.createDataFrame([(1, "5", "5", 10.0)], "PaymentID long, FromAccountID string, ToAccountID string, Amount double")
+    payments = spark.createDataFrame(
+        [(1, "5", "5", 10.0)], "PaymentID long, FromAccountID string, ToAccountID string, Amount double"
+    )
     assert joins.accounts_with_payments(accounts, payments).count() == 1
 
 
