@@ -35,7 +35,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS AccountID",
-        "CAST(floor(c_custkey / 3) AS bigint) AS CustomerID",
+        "c_custkey DIV 3 AS CustomerID",
         "CASE c_custkey % 3 WHEN 0 THEN 'Savings' WHEN 1 THEN 'Current' ELSE 'Business' END AS AccountType",
         "c_acctbal * 10 AS Balance",
         "CAST((c_custkey % 11) * 200 AS double) AS ODLimit",

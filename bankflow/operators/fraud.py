@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from bankflow.operators.accounts import low_credit_accounts, suspicious_transactions, very_high_payments
 from bankflow.operators.joins import distinct_with_count, full_outer_parts
-from bankflow.plans import DEFAULT_CHUNK
-from bankflow.plans.skew import left_join
+from bankflow.plans import DEFAULT_CHUNK, crowded_keys, split_left_join
 from bankflow.schemas import POTENTIAL_FRAUD_ACCOUNTS, conform
 
 _KEY = "AccountKey"
 
 
-def _signs(accounts: DataFrame, transactions: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three inputs with copies counted. Counting first makes every combination below unique."""
-    suspicious = suspicious_transactions(transactions).withColumnRenamed("AccountID", _KEY)
-    high = very_high_payments(payments).withColumnRenamed("AccountID", _KEY)
-    low = low_credit_accounts(accounts).select(F.col("AccountID").cast("string").alias(_KEY), "CreditScore")
-    return (
-        distinct_with_count(suspicious, "_n1"), distinct_with_count(high, "_n2"), distinct_with_count(low, "_n3")
-    )
+def _signs(accounts: DataFrame, transactions: DataFrame, payments: DataFrame) -> list[DataFrame]:
+    return [
+        suspicious_transactions(transactions).withColumnRenamed("AccountID", _KEY),
+        very_high_payments(payments).withColumnRenamed("AccountID", _KEY),
+        low_credit_accounts(accounts).select(F.col("AccountID").cast("string").alias(_KEY), "CreditScore"),
+    ]
+
+
+def _counted(signs: list[DataFrame]) -> list[DataFrame]:
+    """The signs with copies counted. Counting first makes every combination of rows unique."""
+    return [distinct_with_count(sign, f"_n{n}") for n, sign in enumerate(signs, 1)]
 
 
 def _events(*counts: str) -> Column:
@@ -39,7 +41,9 @@ def potential_fraud_accounts(
     The account is that of the suspicious transaction: payments and scores of accounts without one appear with a NULL
     account and are grouped on what is left. Only those two parts need a second grouping.
     """
-    matched, only_payment, only_score = full_outer_parts(*_signs(accounts, transactions, payments), _KEY, chunk)
+    signs = _signs(accounts, transactions, payments)
+    crowded = crowded_keys(signs, _KEY, chunk)
+    matched, only_payment, only_score = full_outer_parts(*_counted(signs), _KEY, chunk, crowded)
     matched = matched.select(
         F.col(_KEY).alias("AccountID"), "TransactionID", "PaymentID", "Suspicious", "CreditScore",
         _events("_n1", "_n2", "_n3"),
@@ -57,10 +61,12 @@ def potential_fraud_accounts_coalesced(
     accounts: DataFrame, transactions: DataFrame, payments: DataFrame, chunk: int = DEFAULT_CHUNK
 ) -> DataFrame:
     """The same signs, keyed on whichever input names the account, so that no sign loses its account."""
-    suspicious, high, low = _signs(accounts, transactions, payments)
-    matched, only_payment, only_score = full_outer_parts(suspicious, high, low, _KEY, chunk)
-    only_payment = left_join(only_payment, low, _KEY, chunk)
-    only_score = only_score.join(high.select(_KEY).distinct(), _KEY, "left_anti")
+    signs = _signs(accounts, transactions, payments)
+    crowded = crowded_keys(signs, _KEY, chunk)
+    suspicious, high, low = _counted(signs)
+    matched, only_payment, only_score = full_outer_parts(suspicious, high, low, _KEY, chunk, crowded)
+    only_payment = split_left_join(only_payment, {"low": low}, _KEY, chunk, crowded)
+    only_score = only_score.join(signs[1].select(_KEY).distinct(), _KEY, "left_anti")
     rows = [
         part.select(F.col(_KEY).alias("AccountID"), *names, _events(*counts))
         for part, names, counts in (

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from bankflow.functions import EXACT, ratio
 from bankflow.operators.accounts import excessive_fee_payments
-from bankflow.plans import DEFAULT_CHUNK, crowded_keys, fan_out_left, materialize, split_factors
-from bankflow.plans.skew import BASE, left_join
+from bankflow.plans import DEFAULT_CHUNK, crowded_keys, left_join, materialize, split_left_join
 
 ACCOUNT_KEY = "AccountKey"
 
@@ -94,8 +93,13 @@ def payments_with_derived(payments: DataFrame, chunk: int = DEFAULT_CHUNK) -> Da
     return with_fees.join(merchants, "MerchantName", "left").join(segments, "CustomerSegment", "left")
 
 
+def distinct_with_count(df: DataFrame, count: str) -> DataFrame:
+    """Copies of a row as one row and a number; combined before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count))
+
+
 def full_outer_parts(
-    first: DataFrame, second: DataFrame, third: DataFrame, key: str, chunk: int = DEFAULT_CHUNK
+    first: DataFrame, second: DataFrame, third: DataFrame, key: str, chunk: int, crowded: DataFrame | None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``first FULL JOIN second ON first.key = second.key FULL JOIN third ON first.key = third.key`` in three parts.
 
@@ -105,20 +109,12 @@ def full_outer_parts(
     """
     # Rows without a key meet nothing. Kept apart, they do not all travel to the one partition of NULL.
     keyed, unkeyed = first.filter(F.col(key).isNotNull()), first.filter(F.col(key).isNull())
-    inputs = {BASE: keyed, "second": second, "third": third}
-    crowded = crowded_keys(list(inputs.values()), key, chunk)
-    factors = None if crowded is None else split_factors(inputs, key, chunk, crowded)
-    matched = fan_out_left(keyed, {"second": second, "third": third}, key, factors)
+    matched = split_left_join(keyed, {"second": second, "third": third}, key, chunk, crowded)
     matched = matched.unionByName(unkeyed, allowMissingColumns=True)
     first_keys = keyed.select(key).distinct()
     return matched, second.join(first_keys, key, "left_anti"), third.join(first_keys, key, "left_anti")
 
 
-def distinct_with_count(df: DataFrame, count: str) -> DataFrame:
-    """Copies of a row as one row and a number; combined before the shuffle."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count))
-
-
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Back from one row and a number to that many copies."""
     return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop("_copy", times)
@@ -129,12 +125,14 @@ def full_outer_chain(
 ) -> DataFrame:
     """The chain of two full joins as rows: suspicious transactions, very high payments, low scores."""
     key = ACCOUNT_KEY
-    first = distinct_with_count(transactions.withColumnRenamed("AccountID", key), "_n1")
-    second = distinct_with_count(payments.withColumnRenamed("AccountID", key), "_n2")
-    third = distinct_with_count(
-        accounts.select(F.col("AccountID").cast("string").alias(key), "CreditScore"), "_n3"
-    )
-    matched, only_second, only_third = full_outer_parts(first, second, third, key, chunk)
+    inputs = [
+        transactions.withColumnRenamed("AccountID", key),
+        payments.withColumnRenamed("AccountID", key),
+        accounts.select(F.col("AccountID").cast("string").alias(key), "CreditScore"),
+    ]
+    counted = [distinct_with_count(df, f"_n{n}") for n, df in enumerate(inputs, 1)]
+    crowded = crowded_keys(inputs, key, chunk)
+    matched, only_second, only_third = full_outer_parts(*counted, key, chunk, crowded)
     columns = {
         "AccountID": "string", "TransactionID": "bigint", "Suspicious": "boolean", "PaymentAccountID": "string",
         "PaymentID": "bigint", "ScoreAccountID": "string", "CreditScore": "bigint",

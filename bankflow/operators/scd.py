@@ -66,8 +66,7 @@ def scd1_inserts(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     The target keys are first narrowed to those in staging, so only matches travel. Anti join keeps NULL keys, which
     never match.
     """
-    staged_keys = staging.select(key).distinct()
-    matched = target.select(key).join(staged_keys, key, "left_semi").distinct()
+    matched = target.select(key).join(staging.select(key), key, "left_semi").distinct()
     return staging.join(matched, key, "left_anti")
 
 

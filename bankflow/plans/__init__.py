@@ -1,6 +1,7 @@
-from bankflow.plans.skew import DEFAULT_CHUNK, crowded_keys, fan_out_left, split_factors
+from bankflow.plans.skew import DEFAULT_CHUNK, crowded_keys, fan_out_left, left_join, split_factors, split_left_join
 from bankflow.plans.workspace import materialize, new_path, shared_dir
 
 __all__ = [
-    "DEFAULT_CHUNK", "crowded_keys", "fan_out_left", "materialize", "new_path", "shared_dir", "split_factors",
+    "DEFAULT_CHUNK", "crowded_keys", "fan_out_left", "left_join", "materialize", "new_path", "shared_dir",
+    "split_factors", "split_left_join",
 ]

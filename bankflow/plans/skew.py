@@ -101,11 +101,21 @@ def fan_out_left(
     return joined.select(*wanted)
 
 
+def split_left_join(
+    base: DataFrame,
+    sides: dict[str, DataFrame],
+    key: str,
+    chunk: int,
+    crowded: DataFrame | None,
+    spread: Column | None = None,
+) -> DataFrame:
+    """``fan_out_left`` with an axis for every input, for keys that ``crowded_keys`` has found before."""
+    factors = None if crowded is None else split_factors({BASE: base, **sides}, key, chunk, crowded)
+    return fan_out_left(base, sides, key, factors, spread)
+
+
 def left_join(
     base: DataFrame, side: DataFrame, key: str, chunk: int = DEFAULT_CHUNK, spread: Column | None = None
 ) -> DataFrame:
     """Two-way form: finds the crowded keys of both inputs, then joins."""
-    inputs = {BASE: base, "side": side}
-    crowded = crowded_keys(list(inputs.values()), key, chunk)
-    factors = None if crowded is None else split_factors(inputs, key, chunk, crowded)
-    return fan_out_left(base, {"side": side}, key, factors, spread)
+    return split_left_join(base, {"side": side}, key, chunk, crowded_keys([base, side], key, chunk), spread)

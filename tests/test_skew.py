@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from bankflow.operators import fraud, joins, ledger, ranking, reconciliation
 from bankflow.operators.accounts import low_credit_accounts, suspicious_transactions, very_high_payments
-from bankflow.plans import crowded_keys, fan_out_left, split_factors
-from bankflow.plans.skew import BASE, left_join
+from bankflow.plans import crowded_keys, fan_out_left, left_join, split_factors
+from bankflow.plans.skew import BASE
 from tests.helpers import assert_same, bank
 
 AS_OF = dt.date(2001, 8, 1)
