@@ -267,7 +267,7 @@ def largest_country_per_region(spark: SparkSession, sf: str) -> DataFrame:
 
 def rank_in_partition(spark: SparkSession, sf: str) -> DataFrame:
     rows = _landed_countries(spark, sf).select("region", F.col("name.common").alias("country"), "population")
-    return ranking.rank_in_group(rows, "region", "population").withColumn("rank", F.col("rank").cast("bigint"))
+    return ranking.rank_in_group(rows, "region", "population")
 
 
 def limit_peek(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,37 +19,36 @@ def top_in_group(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def rank_in_group(
-    df: DataFrame, group: str, value: str, chunk: int = DEFAULT_CHUNK, buckets: int = 256
+    df: DataFrame, group: str, value: str, chunk: int = DEFAULT_CHUNK, ranges: int | None = None
 ) -> DataFrame:
     """``rank()`` per group by descending ``value``, NULL values last.
 
-    Groups up to ``chunk`` rows take a plain window. For larger ones the distinct values are counted and cut into ranges
-    at their quantiles; a rank is the number of rows in higher ranges plus the rank inside the own range.
+    Groups up to ``chunk`` rows take a plain window. For larger ones the distinct values are counted and cut into value
+    ranges (``ranges`` of them, or as many as adaptive execution finds fit); a rank is the number of rows in the ranges
+    before plus the rank inside the own range.
     """
-    plain = Window.partitionBy(group).orderBy(F.col(value).desc())
+    # bigint, as a group may have more rows than an int counts
+    plain = F.rank().over(Window.partitionBy(group).orderBy(F.col(value).desc())).cast("bigint")
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk)
     large = materialize(sizes.select(F.col(group).alias("_large")), "large_groups")
     if large.isEmpty():
-        return df.withColumn("rank", F.rank().over(plain))
+        return df.withColumn("rank", plain)
 
     in_large = F.col(group).eqNullSafe(F.col("_large"))
-    usual = df.join(large, in_large, "left_anti").withColumn("rank", F.rank().over(plain))
+    usual = df.join(large, in_large, "left_anti").withColumn("rank", plain)
 
-    values = df.join(large, in_large, "left_semi").groupBy(group, value).agg(F.count(F.lit(1)).alias("_rows"))
-    values = materialize(values, "counted_values")
-    bounds = values.groupBy(F.col(group).alias("_large")).agg(
-        F.approx_percentile(value, [i / buckets for i in range(1, buckets)], F.lit(10 * buckets)).alias("_bounds")
-    )
-    # Range 0 holds the greatest values, equal values share a range, and NULL has a last range of its own.
-    higher_bounds = F.size(F.filter("_bounds", lambda bound: bound > F.col(value)))
-    counted = values.join(materialize(bounds, "range_bounds"), in_large).select(
-        group, value, "_rows", F.when(F.col(value).isNull(), buckets).otherwise(higher_bounds).alias("_range")
-    )
-    # At most ``buckets`` + 1 ranges per group, so this window stays small.
+    counted = df.join(large, in_large, "left_semi").groupBy(group, value).agg(F.count(F.lit(1)).alias("_rows"))
+    order = [F.col(group), F.col(value).desc()]
+    counted = counted.repartitionByRange(*([ranges] if ranges else []), *order)
+    # The range number is written with the row, so both uses below see the same cut.
+    counted = materialize(counted.withColumn("_range", F.spark_partition_id()), "ranged_values")
+
+    # A group has at most one row per range here, and a range holds what fits one task.
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = counted.groupBy(group, "_range").agg(F.sum("_rows").alias("_rows"))
-    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).select(
-        F.col(group).alias("_g"), F.col("_range").alias("_r"), "_before"
+    offsets = counted.groupBy(group, "_range").agg(F.sum("_rows").alias("_rows"))
+    offsets = offsets.select(
+        F.col(group).alias("_g"), F.col("_range").alias("_r"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
     )
     inside = (
         Window.partitionBy(group, "_range").orderBy(F.col(value).desc())
@@ -57,10 +56,10 @@ def rank_in_group(
     )
     ranks = (
         counted.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
-        .join(ranges, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+        .join(offsets, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
         .select(
             F.col(group).alias("_group"), F.col(value).alias("_value"),
-            (F.col("_before") + F.col("_inside") + 1).cast("int").alias("rank"),
+            (F.col("_before") + F.col("_inside") + 1).alias("rank"),
         )
     )
     ranked = df.join(

@@ -53,6 +53,31 @@ def test_side_outside_the_grid_is_repeated(spark):
     assert_same(fan_out_left(base, {"one": one, "plain": plain}, "k", factors), expected)
 
 
+def test_rows_of_a_hot_key_are_spread_over_tasks(spark):
+    base = spark.range(1, 200).select(F.col("id").alias("k"))
+    side = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 200).alias("k"), "id")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+
+        def largest_task(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        whole = left_join(base, side, "k", 1_000_000)
+        split = left_join(base, side, "k", 500)
+        assert largest_task(whole) > 10_000
+        assert largest_task(split) < 6_000
+        assert split.count() == whole.count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_crowded_keys_of_a_large_input(spark):
     """Found from the sample: one key in a third of the rows, the others well below the limit."""
     df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
@@ -196,13 +221,13 @@ def test_ledger(spark, monkeypatch, seed, chunk, few):
 
 
 @pytest.mark.parametrize("chunk", [1, 4, 1_000_000])
-@pytest.mark.parametrize("buckets", [2, 8])
-def test_rank_in_group(spark, chunk, buckets):
+@pytest.mark.parametrize("ranges", [None, 5])
+def test_rank_in_group(spark, chunk, ranges):
     rng = random.Random(5)
     data = [(rng.choice(["A", "A", "B", None]), i, rng.choice([None, 1, 2, 3, 5, 8, 13, 21])) for i in range(60)]
     data.append(("C", 99, None))
     df = spark.createDataFrame(data, "region string, id int, population long")
     df.createOrReplaceTempView("ranked")
     expected = spark.sql("select *, rank() over (partition by region order by population desc) as rank from ranked")
-    assert_same(ranking.rank_in_group(df, "region", "population", chunk, buckets), expected)
+    assert_same(ranking.rank_in_group(df, "region", "population", chunk, ranges), expected)
     assert_same(ranking.top_in_group(df, "region", "population"), expected.filter("rank = 1").drop("rank"))
