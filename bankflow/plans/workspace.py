@@ -27,8 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path that no earlier run has used, so a rerun never overwrites what it reads."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path that no earlier run has used, so a rerun never overwrites what it reads.
+
+    All paths of an application lie under one folder, which can be dropped when the application has ended.
+    """
+    return f"{shared_dir(spark)}/bankflow-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
