@@ -15,6 +15,9 @@ def spark(tmp_path_factory):
     session = local_session(
         "tests", 4, 4,
         **{
+            # Compiling a plan takes longer than running it on a few rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

@@ -15,7 +15,7 @@ from bankflow.plans.skew import BASE
 from tests.helpers import assert_same, bank
 
 AS_OF = dt.date(2001, 8, 1)
-CHUNKS = [1, 3, 1_000_000]
+CHUNKS = [1, 1_000_000]
 
 
 def keyed(spark, seed, column, n):
@@ -33,7 +33,7 @@ def test_left_join_with_copies(spark, chunk, seed):
     assert_same(found, base.join(side, "k", "left"))
 
 
-@pytest.mark.parametrize("seed", [3, 4, 5])
+@pytest.mark.parametrize("seed", [3, 4])
 def test_fan_out_over_several_axes(spark, seed):
     base = keyed(spark, seed, "x", 9).distinct()
     sides = {"one": keyed(spark, seed + 1, "y", 14).distinct(), "two": keyed(spark, seed + 2, "z", 8).distinct()}
@@ -105,7 +105,7 @@ def test_payment_to_oneself_matches_once(spark):
 
 
 @pytest.mark.parametrize("chunk", CHUNKS)
-@pytest.mark.parametrize("seed", [21, 22])
+@pytest.mark.parametrize("seed", [21])
 def test_full_outer_chain(spark, chunk, seed):
     tables = bank(spark, seed)
     expected = spark.sql("""
@@ -203,9 +203,9 @@ LEDGER = """
     where ODUtilizationPercent is not null"""
 
 
-@pytest.mark.parametrize("few", [True, False])
-@pytest.mark.parametrize("chunk", [2, 1_000_000])
-@pytest.mark.parametrize("seed", [51, 52])
+@pytest.mark.parametrize(
+    "seed, chunk, few", [(51, 2, True), (52, 2, False), (51, 1_000_000, False), (52, 1_000_000, True)]
+)
 def test_ledger(spark, monkeypatch, seed, chunk, few):
     """Repeated accounts, copies and equal segments included; no final DISTINCT on our side."""
     t = bank(spark, seed)
@@ -220,7 +220,7 @@ def test_ledger(spark, monkeypatch, seed, chunk, few):
     assert left == right
 
 
-@pytest.mark.parametrize("chunk", [1, 4, 1_000_000])
+@pytest.mark.parametrize("chunk", [1, 8])
 @pytest.mark.parametrize("ranges", [None, 5])
 def test_rank_in_group(spark, chunk, ranges):
     rng = random.Random(5)
