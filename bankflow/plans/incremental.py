@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.functions import parse_day
+from bankflow.sources.jdbc import read_partitioned
 
 _LOG = "table_name string, batch bigint, row_count bigint, mark date, load_dt date"
 
@@ -124,6 +125,15 @@ def load(
     return result
 
 
+def jdbc_source(spark: SparkSession, connection: dict[str, str], spec: TableSpec, raw: RawLayer) -> DataFrame:
+    """The source table of a load, read in parallel and, where the date is a date, already filtered at the database."""
+    _, mark = raw.last(spec.name)
+    after = None if spec.date_is_text else mark
+    return read_partitioned(
+        spark, connection, spec.name, spec.key, spec.read_partitions, spec.date_column, after
+    )
+
+
 def load_all(
     sources: dict[str, DataFrame], raw: RawLayer, as_of: dt.datetime, specs: Iterable[TableSpec] = BANK_TABLES
 ) -> list[LoadResult]:

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,33 @@ def scan_query(table: str, alias: str = "src") -> str:
     return f"(select * from {table}) {alias}"
 
 
-def bounds_query(table: str, column: str, alias: str = "bounds") -> str:
-    """Minimum and maximum, computed in the database over an indexed key."""
-    return f"(select min({column}) as lower_bound, max({column}) as upper_bound from {table}) {alias}"
+def _literal(value: Any) -> str:
+    """A mark as SQL text. Only dates and integers are accepted, so no text from outside gets into a query."""
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        return f"date '{value.isoformat()}'"
+    if isinstance(value, int) and not isinstance(value, bool):
+        return str(value)
+    raise TypeError(f"a mark must be a date or an integer, not {type(value).__name__}")
 
 
-def probe_bounds(spark: SparkSession, connection: dict[str, str], table: str, column: str) -> tuple[Any, Any] | None:
-    """(min, max) of ``column``; None only for an empty table. Zero is a valid bound."""
-    row = spark.read.format("jdbc").options(**connection).option("dbtable", bounds_query(table, column)).load().first()
+def bounds_query(
+    table: str, column: str, date_column: str | None = None, after: Any = None, alias: str = "bounds"
+) -> str:
+    """Minimum and maximum of the rows to read, computed in the database over an indexed key.
+
+    Bounds of the whole table would put an increment, which holds the newest keys, into the last stride.
+    """
+    where = "" if after is None else f" where {date_column} > {_literal(after)}"
+    return f"(select min({column}) as lower_bound, max({column}) as upper_bound from {table}{where}) {alias}"
+
+
+def probe_bounds(
+    spark: SparkSession, connection: dict[str, str], table: str, column: str, date_column: str | None = None,
+    after: Any = None,
+) -> tuple[Any, Any] | None:
+    """(min, max) of ``column``; None only if there are no rows. Zero is a valid bound."""
+    query = bounds_query(table, column, date_column, after)
+    row = spark.read.format("jdbc").options(**connection).option("dbtable", query).load().first()
     return None if row is None or row[0] is None else (row[0], row[1])
 
 
@@ -49,7 +69,7 @@ def read_partitioned(
     after: Any = None,
 ) -> DataFrame:
     """Parallel scan of ``table``; with ``after``, only rows whose ``date_column`` is greater (filtered at the database)."""
-    bounds = probe_bounds(spark, connection, table, column)
+    bounds = probe_bounds(spark, connection, table, column, date_column, after)
     df = (
         spark.read.format("jdbc").options(**connection).option("dbtable", scan_query(table))
         .options(**partition_options(column, bounds, num_partitions)).load()

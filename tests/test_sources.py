@@ -113,6 +113,11 @@ def test_jdbc_queries_and_options():
     assert bounds_query("bank.accounts", "AccountID") == (
         "(select min(AccountID) as lower_bound, max(AccountID) as upper_bound from bank.accounts) bounds"
     )
+    assert bounds_query("t", "k", "d", dt.date(2001, 8, 1)) == (
+        "(select min(k) as lower_bound, max(k) as upper_bound from t where d > date '2001-08-01') bounds"
+    )
+    with pytest.raises(TypeError):
+        bounds_query("t", "k", "d", "x' or 1=1 --")
     assert scan_query("bank.accounts") == "(select * from bank.accounts) src"
     assert partition_options("AccountID", (0, 90), 4) == {
         "partitionColumn": "AccountID", "lowerBound": "0", "upperBound": "90", "numPartitions": "4"
@@ -121,6 +126,20 @@ def test_jdbc_queries_and_options():
     assert partition_options("AccountID", (1, 2), 1) == {}
 
 
+def test_jdbc_source_of_a_load(spark, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(inc, "read_partitioned", lambda _, connection, *args: calls.append((connection, args)))
+    raw = inc.RawLayer(spark, str(tmp_path))
+    inc.load(accounts(spark, (1, 1), (2, 5)), inc.ACCOUNTS, raw, T1)
+    for spec in inc.BANK_TABLES:
+        inc.jdbc_source(spark, {"url": "jdbc:x"}, spec, raw)
+    assert calls == [
+        ({"url": "jdbc:x"}, ("accounts", "AccountID", 4, "DateOpened", dt.date(2001, 7, 5))),
+        ({"url": "jdbc:x"}, ("transactions", "TransactionID", 6, "TransactionDate", None)),
+        ({"url": "jdbc:x"}, ("payments", "PaymentID", 6, "PaymentDate", None)),
+    ]
+
+
 def test_csv_with_a_bad_row_fails(spark, tmp_path):
     (tmp_path / "c.csv").write_text("CustomerID,FirstName,LastName,DateOfBirth,Email,PhoneNumber,Address,BranchID\n"
                                     "x,A,B,1980-01-01,,5,s,1\n")
