@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bankflow.llm.bpe import token_digest
+from bankflow.llm.fingerprints import fingerprint_digest
 from bankflow.llm.mixing import mix_digest
+from bankflow.llm.near_dup import near_dup_digest
 from bankflow.llm.pii import pii_digest
 from bankflow.llm.quality_rules import quality_digest
 from bankflow.llm.sharding import shard_digest
@@ -18,8 +21,11 @@ def _documents(digest: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": _documents(pii_digest),
+    "op2_byte_bpe": _documents(token_digest),
     "op3_sharding": _documents(shard_digest),
     "op4_mixing": _documents(mix_digest),
+    "op5_fingerprints": _documents(fingerprint_digest),
+    "op7_near_duplicates": _documents(near_dup_digest),
     "op9_quality_rules": _documents(quality_digest),
 }
 
