@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from bankflow.plans.workspace import materialize
 
-MAX_CENTRES = 16
+# By how much the number of centres in a bucket grows from round to round.
+GROWTH = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,9 +52,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """Rows of ``members`` (``key, id``) whose bucket has two ids or more."""
-    several = (
+    several = materialize(
         members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-        .filter("least <> most").select("key")
+        .filter("least <> most").select("key"), "shared_keys",
     )
     return members.join(several, "key", "left_semi")
 
@@ -61,31 +62,36 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 def link_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node, root`` for every row of ``buckets`` (``key, id``, written) that has a link.
 
-    ``verify`` takes pairs ``a, b`` with a below b and returns those that are links.
+    ``verify`` takes pairs ``a, b`` with a below b and returns those that are links. The number of centres grows from
+    round to round, so a bucket whose rows are all apart ends after a logarithmic number of rounds.
     """
     pool = buckets.withColumn("root", F.col("id"))
-    links: list[DataFrame] = []
     tested: list[DataFrame] = []
-    roots = None
-    for number in range(1 << 30):
-        n = min(4**number, MAX_CENTRES)
+    roots = buckets.sparkSession.createDataFrame([], "node long, root long")
+    number = 0
+    while not pool.isEmpty():
+        turn = F.xxhash64("id", F.lit(number))
+        sizes = pool.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", turn).alias("first"))
+        every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") / F.lit(GROWTH**number)))
         centres = materialize(
-            pool.groupBy("key").agg(F.array_distinct(F.array(*(
-                F.min_by("id", F.xxhash64("id", F.lit(64 * number + j))) for j in range(n)))).alias("ids"))
-            .select("key", F.explode("ids").alias("centre")), "centres",
+            pool.join(sizes, "key").filter((F.col("id") == F.col("first")) | (
+                (F.lit(number) > 0) & (F.pmod(turn, every) == 0)))
+            .select("key", F.col("id").alias("centre"), F.col("root").alias("centre_root")), "centres",
         )
-        placed = pool.select("key", F.col("id").alias("centre"), F.col("root").alias("centre_root"))
         pairs = (
-            pool.join(centres.join(placed, ["key", "centre"]), "key").filter("root <> centre_root")
+            pool.join(centres, (pool["key"] == centres["key"]) & (pool["root"] != centres["centre_root"]))
             .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
         )
-        pairs = reduce(lambda left, done: left.join(done, ["a", "b"], "left_anti"), tested, pairs)
-        pairs = materialize(pairs, "pairs")
+        pairs = materialize(
+            reduce(lambda left, done: left.join(done, ["a", "b"], "left_anti"), tested, pairs), "pairs")
         tested.append(pairs)
-        links.append(materialize(verify(pairs), "links"))
-        roots = materialize(components(reduce(DataFrame.unionAll, links)), "roots")
+        links = materialize(verify(pairs), "links")
+        if not links.isEmpty():
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = materialize(components(links.unionAll(known)), "roots")
         rest = (
-            pool.drop("root").join(centres.withColumnRenamed("centre", "id"), ["key", "id"], "left_anti")
+            pool.drop("root")
+            .join(centres.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti")
             .join(roots.withColumnRenamed("node", "id"), "id", "left")
             .select("key", "id", F.coalesce("root", "id").alias("root"))
         )
@@ -94,5 +100,5 @@ def link_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
             .filter("least <> most").select("key")
         )
         pool = materialize(rest.join(open_keys, "key", "left_semi"), "pool")
-        if pool.isEmpty():
-            return roots
+        number += 1
+    return roots
