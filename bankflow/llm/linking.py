@@ -39,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
             current.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = (
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+            both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         )
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(F.explode(F.array(
