@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankflow.plans.workspace import materialize
+from bankflow.plans.workspace import new_path
 
 LEAF_WORDS = 16
 _LONG_SENTENCE = 160
@@ -172,10 +172,13 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     tie = [F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text")]
-    chained = materialize(
+    path = new_path(docs.sparkSession, "fingerprints")
+    (
         texts.repartitionByRange(*tie).sortWithinPartitions(*tie, "text")
-        .mapInArrow(_chained, f"{_ROW}, part int, border string, text string"), "fingerprints",
+        .mapInArrow(_chained, f"{_ROW}, part int, border string, text string")
+        .write.option("compression", "zstd").parquet(path)
     )
+    chained = docs.sparkSession.read.schema(f"{_ROW}, part int, border string, text string").parquet(path)
     heads = chained.filter("border = 'head'")
     # One small row per partition: which partition with rows comes next, around the end.
     order = heads.select("part").withColumn("next", F.lead("part").over(Window.orderBy("part"))).withColumn(
