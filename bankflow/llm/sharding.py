@@ -55,8 +55,12 @@ def edited(loads: Sequence[int], owner: Sequence[int], shards: int, tolerance: f
         gap = totals[full] - totals[empty]
         if totals[full] <= mean * (1 + tolerance) and totals[empty] >= mean * (1 - tolerance):
             return owner
-        # The largest slot that narrows the gap.
-        slot = next((s for s in reversed(held.get(full, [])) if 0 < loads[s] < gap), None)
+        # The largest slot that brings neither shard across the mean; else the smallest that narrows the gap.
+        room = min(totals[full] - mean, mean - totals[empty])
+        own = held.get(full, [])
+        slot = next((s for s in reversed(own) if 0 < loads[s] <= room), None)
+        if slot is None:
+            slot = next((s for s in own if 0 < loads[s] < gap), None)
         if slot is None:
             return owner
         held[full].remove(slot)
