@@ -81,8 +81,10 @@ def scd1_merge(
 ) -> DataFrame:
     """Type 1: staging values replace those of a matching key, other staging rows are added, both stamped ``as_of``.
 
-    ``only_changed`` leaves the stamp of rows that staging repeats without a difference.
+    ``only_changed`` leaves the stamp of rows that staging repeats without a difference. A key that staging has twice
+    fails the merge; reduce it with ``newest_per_key`` first.
     """
+    require_unique(staging, key)
     values = [f.name for f in schema.fields if f.name not in (key, stamp)]
     staged = conform(staging.withColumn(stamp, F.lit(as_of)), schema)
     merged = target.join(_renamed(staged, key), key, "left")
@@ -107,7 +109,8 @@ def scd2_close(
     history: DataFrame, staging: DataFrame, as_of: dt.datetime, key: str = "LoanID",
     tracked: Sequence[str] = LOAN_TRACKED, null_safe: bool = False,
 ) -> DataFrame:
-    """History with the current row closed where a tracked column differs from staging."""
+    """History with the current row closed where a tracked column differs from staging. A key twice in staging fails."""
+    require_unique(staging, key)
     staged = _renamed(staging.select(key, *tracked), key)
     joined = history.join(staged, key, "left")
     close = F.col("is_current") & F.coalesce(F.col("_staged"), F.lit(False)) & _changed(tracked, null_safe)
