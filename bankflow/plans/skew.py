@@ -20,38 +20,25 @@ DEFAULT_CHUNK = 1_000_000
 # Rows that a key at the limit is expected to leave in the sample; half of them mark it as crowded.
 _SAMPLED_AT_LIMIT = 2_000
 
-# The optimizer's size estimate counts at least this much for a row: 8 bytes, and 8 for its key.
-_LEAST_ROW_BYTES = 16
-
 BASE = "base"
 
 
-def _may_reach(df: DataFrame, rows: int) -> bool:
-    """Whether the optimizer's size estimate leaves room for that many rows."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) >= rows * _LEAST_ROW_BYTES
-
-
 def crowded_keys(inputs: list[DataFrame], key: str, chunk: int) -> DataFrame | None:
     """Keys that may have more than ``chunk`` rows in an input, or None.
 
-    Inputs whose estimated size is below the limit are not looked at. The check reads the key column of the others and
-    counts a sample of it. It only picks the layout of a join: every row is joined either way, and a key that is picked
+    The check reads the key column of every input and counts a sample of it. It only picks the layout of a join: every row is joined either way, and a key that is picked
     is then counted in full. At most about (2 x all rows / chunk) keys come
     back; the written table carries its size, so joins against it are broadcast only while it is small.
     """
-    key_columns = [column for df in inputs if _may_reach(column := df.select(key), chunk)]
-    if not key_columns:
-        return None
     fraction = min(1.0, _SAMPLED_AT_LIMIT / chunk)
     limit = chunk if fraction == 1.0 else fraction * chunk / 2
     counted = [
-        column.sample(fraction, seed=17).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        df.select(key).sample(fraction, seed=17).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .filter((F.col("_n") > limit) & F.col(key).isNotNull()).select(key)
-        for column in key_columns
+        for df in inputs
     ]
-    found = reduce(DataFrame.unionByName, counted).distinct()
-    return None if found.isEmpty() else materialize(found, "crowded_keys")
+    found = materialize(reduce(DataFrame.unionByName, counted).distinct(), "crowded_keys")
+    return None if found.isEmpty() else found
 
 
 def split_factors(inputs: dict[str, DataFrame], key: str, chunk: int, crowded: DataFrame) -> DataFrame:

@@ -22,12 +22,16 @@ def read_json_lines(
 
 
 def read_nested_json(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Landed API payloads: each file holds a JSON array (or one object). All payloads are one scan with repeats kept."""
+    """Landed API payloads: each file holds a JSON array (or one object). All payloads are one scan with repeats kept.
+
+    A payload that cannot be parsed fails the read instead of becoming a row of NULLs.
+    """
     return (
-        spark.read.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True)
-        .json(_paths(paths))
+        spark.read.schema(schema).option("mode", mode).option("multiLine", multi_line)
+        .option("recursiveFileLookup", True).json(_paths(paths))
     )
 
 
