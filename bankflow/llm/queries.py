@@ -11,6 +11,7 @@ from bankflow.llm.fingerprints import fingerprint_digest
 from bankflow.llm.line_dedup import line_dedup_digest
 from bankflow.llm.mixing import mix_digest
 from bankflow.llm.near_dup import near_dup_digest
+from bankflow.llm.oracles import ORACLES as ORACLES
 from bankflow.llm.pii import pii_digest
 from bankflow.llm.quality_model import quality_model_digest
 from bankflow.llm.quality_rules import quality_digest
@@ -39,5 +40,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": _documents(quality_digest),
     "op10_quality_model": _labelled(quality_model_digest),
 }
-
-ORACLES: dict[str, str] = {}
