@@ -30,17 +30,22 @@ def _run(
     query.awaitTermination()
 
 
+def _one_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """Newest rows, if the caller says which those are; else the batch as it is, and the merge refuses repeated keys."""
+    return newest_per_key(batch, key, order_by) if order_by else batch
+
+
 def stream_scd1(
     spark: SparkSession, staging_path: str, staging_schema: T.StructType, checkpoint: str, table: SnapshotTable,
     key: str, as_of: dt.datetime, order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Merge all staging files that arrived since the last run (type 1) and return the current snapshot.
 
-    Several rows of one key in a batch are reduced to the greatest by ``order_by``.
+    Several rows of one key in a batch are reduced to the greatest by ``order_by``; without it they are an error.
     """
 
     def merge(target: DataFrame, batch: DataFrame) -> DataFrame:
-        return scd1_merge(target, newest_per_key(batch, key, order_by), key, table.schema, as_of)
+        return scd1_merge(target, _one_per_key(batch, key, order_by), key, table.schema, as_of)
 
     _run(spark, staging_path, staging_schema, checkpoint, table, merge)
     return table.read()
@@ -50,10 +55,14 @@ def stream_scd2(
     spark: SparkSession, staging_path: str, staging_schema: T.StructType, checkpoint: str, table: SnapshotTable,
     key: str, as_of: dt.datetime, order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """The same with history (type 2)."""
+    """The same with history (type 2).
+
+    With ``order_by``, only the newest of several versions in one batch enters the history. To keep every version, leave
+    it out and run the stream after each file.
+    """
 
     def merge(target: DataFrame, batch: DataFrame) -> DataFrame:
-        return scd2_merge(target, newest_per_key(batch, key, order_by), as_of, key)
+        return scd2_merge(target, _one_per_key(batch, key, order_by), as_of, key)
 
     _run(spark, staging_path, staging_schema, checkpoint, table, merge)
     return table.read()

@@ -171,3 +171,16 @@ def test_stream_scd2(spark, tmp_path):
     loans(spark, (1, 11.0, "x")).write.mode("append").parquet(staging)
     result = stream_scd2(spark, staging, LOANS_STAGING, checkpoint, table, "LoanID", D2)
     assert sorted((r.Amount, r.is_current) for r in result.collect()) == [(10.0, False), (11.0, True)]
+
+
+def test_streams_lose_no_version_unasked(spark, tmp_path):
+    staging = str(tmp_path / "staging")
+    loans(spark, (1, 10.0, "x")).write.parquet(staging)
+    loans(spark, (1, 11.0, "x")).write.mode("append").parquet(staging)
+    table = SnapshotTable(spark, str(tmp_path / "refused"), LOANS)
+    with pytest.raises(Exception, match="more than one row for LoanID"):
+        stream_scd2(spark, staging, LOANS_STAGING, str(tmp_path / "c1"), table, "LoanID", D1)
+    assert table.read().isEmpty()
+    table = SnapshotTable(spark, str(tmp_path / "newest"), LOANS)
+    result = stream_scd2(spark, staging, LOANS_STAGING, str(tmp_path / "c2"), table, "LoanID", D1, ["Amount"])
+    assert [(r.Amount, r.is_current) for r in result.collect()] == [(11.0, True)]
