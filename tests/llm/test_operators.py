@@ -173,6 +173,39 @@ def test_line_dedup(docs):
     assert clean[4]["text"] is None and clean[6]["text"] == "one" and clean[12]["spans"] == "clash"
 
 
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_lines_are_found_wherever_they_differ(spark):
+    """One word in five is changed, also in the first and last two words; brute force over all pairs."""
+    rng, lines = np.random.default_rng(5), []
+    for n in (8, 9, 10, 12, 15, 16, 20, 24, 25, 32, 40, 50, 60):
+        for k in range(4):
+            base = prose(1000 + 10 * n + k, n)
+            copy = list(base)
+            changed = {0, n - 1} if k == 0 and n >= 10 else set(rng.choice(n, max(1, n // 5), replace=False).tolist())
+            for at in changed:
+                copy[at] = f"{copy[at][:-1]}zu"
+            lines += [" ".join(base), " ".join(copy)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    removed = {r["doc_id"] for r in line_dedup.dedup_lines(table).collect() if r["removed_lines"]}
+    root = list(range(len(lines)))
+    for a, x in enumerate(lines):
+        for b, y in enumerate(lines[:a]):
+            allowed = (max(len(x), len(y)) + 0.0) * 0.2 + 1e-9
+            if abs(len(x) - len(y)) <= allowed and sum((Counter(x) - Counter(y)).values()) <= allowed and (
+                    edit_distance(x, y) <= allowed):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    expected = {i for i, r in enumerate(root) if r != i}
+    assert len(expected) >= 50 and removed == expected
+
+
 def test_simhash_lanes(spark):
     rows = [(i, [f"t{j * j % 97}" for j in range(n)]) for i, n in enumerate((8, 255, 256, 700))]
     table = spark.createDataFrame(rows, "i int, w array<string>")
