@@ -206,6 +206,16 @@ def test_near_lines_are_found_wherever_they_differ(spark):
     assert len(expected) >= 50 and removed == expected
 
 
+def test_lines_that_differ_in_numbers_are_verified(spark):
+    rows = [(1, "12 45 78 90 11"), (2, "33 62 10 55 47"), (3, "row 12 45 78 90 11 16 27 38"), (4, "row 33 62 10 55 47 84 91 60"),
+            (5, "the order of day 12 was sent to the same old town"), (6, "the order of day 13 was sent to the same old town"),
+            (7, "at 10:15:07 user 1204 of group 7 logged in from the address 10.0.0.1 in time"),
+            (8, "at 10:15:08 user 1205 of group 8 logged in from the address 10.0.0.2 in time"),
+            (9, "page 17 of the report"), (10, "page 18 of the report")]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found if r["removed_lines"]} == {6, 8, 10}
+
+
 def test_simhash_lanes(spark):
     rows = [(i, [f"t{j * j % 97}" for j in range(n)]) for i, n in enumerate((8, 255, 256, 700))]
     table = spark.createDataFrame(rows, "i int, w array<string>")
