@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankflow.functions import EXACT, EXACT_FACTOR, EXACT_PER_ROW, id_prefix, parse_day, ratio, year_month
+from bankflow.plans import materialize
 from bankflow.schemas import (
     CLEARING_SYSTEM_EFFICIENCY,
     CROSS_SELL_OPPORTUNITIES,
@@ -23,11 +24,6 @@ MIN_AVG_BALANCE = 50_000
 MIN_HIGH_VALUE_COUNT = 3
 HIGH_VALUE = 10_000
 
-# Prefixes of integers written as text. There are at most 10 + 100 + 1000 of digits alone and 10 + 100 with a sign, so
-# a table with one row for each of them is safe to broadcast at any scale.
-_INTEGER_PREFIX = "^(-[0-9]{1,2}|[0-9]{1,3})$"
-
-
 def _times(value: Column, rows: str) -> Column:
     """``value`` added ``rows`` times, without rounding."""
     return value.cast(EXACT_PER_ROW) * F.col(rows).cast(EXACT_FACTOR)
@@ -36,7 +32,6 @@ def _times(value: Column, rows: str) -> Column:
 def _transactions_per_prefix(transactions: DataFrame) -> DataFrame:
     return (
         transactions.withColumn("_prefix", id_prefix(F.col("AccountID")))
-        .filter(F.col("_prefix").rlike(_INTEGER_PREFIX))
         .groupBy("_prefix")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -48,9 +43,12 @@ def _transactions_per_prefix(transactions: DataFrame) -> DataFrame:
 
 
 def _accounts_with_prefix_totals(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Accounts with the totals of all transactions of their prefix, joined by broadcast: accounts are not shuffled."""
+    """Accounts with the totals of all transactions of their prefix, whatever its characters.
+
+    The totals are written first: the optimizer broadcasts them if they are small, so accounts are then not shuffled.
+    """
     keyed = accounts.withColumn("_prefix", id_prefix(F.col("AccountID")))
-    return keyed.join(F.broadcast(_transactions_per_prefix(transactions)), "_prefix")
+    return keyed.join(materialize(_transactions_per_prefix(transactions), "prefix_totals"), "_prefix")
 
 
 def _profitability(totals: DataFrame) -> DataFrame:

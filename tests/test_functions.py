@@ -135,3 +135,16 @@ def test_prefix_reports_equal_the_joined_pairs(spark, seed):
           on substr(cast(p.PaymentID as string), 1, 3) = substr(cast(t.TransactionID as string), 1, 3)
         group by ClearingSystem""")
     assert_same(prefix.clearing_system_efficiency(t["payments"], t["transactions"]), cleared)
+
+
+def test_prefix_reports_join_prefixes_of_text(spark):
+    t = bank(spark, 63)
+    named = F.concat(F.lit("AC"), F.col("AccountID").cast("string"))
+    plain, text = ((
+        f(t["accounts"].withColumn("AccountID", key), t["transactions"].withColumn("AccountID", key))
+        for f in (prefix.customer_profitability, prefix.cross_sell_opportunities)
+    ) for key in (F.col("AccountID").cast("string"), named))
+    for of_numbers, of_text in zip(plain, text, strict=True):
+        # Account ids have one digit here, so the prefixes pair the same rows with and without the letters.
+        assert not of_text.isEmpty()
+        assert_same(of_numbers, of_text)
