@@ -106,7 +106,9 @@ def chunk_table(pages: DataFrame, key: str, payload: str, uri: str | None = None
         F.monotonically_increasing_id().alias("record"), F.col(key).cast("long").alias("key"),
         (F.lit(None) if uri is None else F.col(uri)).cast("string").alias("uri"),
         F.col(payload).cast("binary").alias("payload"))
-    return materialize(rows.mapInArrow(_chunked, _CHUNKS), "chunks")
+    path = new_path(pages.sparkSession, "chunks")
+    rows.mapInArrow(_chunked, _CHUNKS).write.option("compression", "zstd").parquet(path)
+    return pages.sparkSession.read.schema(_CHUNKS).parquet(path)
 
 
 def record_headers(chunks: DataFrame, least_bytes: int = 0) -> DataFrame:
