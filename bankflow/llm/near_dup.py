@@ -3,14 +3,17 @@
 A document is the set of its word shingles. A sketch has ``REGISTERS`` values; each is the exponentially spaced,
 truncated minimum of exponential variates of the shingles, so the sketch of a union is the registerwise maximum. Two
 documents share a register value with a probability near their Jaccard similarity: documents whose registers agree in a
-whole band meet in a bucket. Pairs from buckets are estimated jointly by maximum likelihood from the counts of larger,
-equal and smaller registers, and those that pass, with a margin of more than five standard deviations, are verified on
-their full sets.
+whole band share a bucket and are candidates. A crowd of texts that are alike, but no links, shares buckets everywhere,
+so candidates are paired by the rarest shingles of their full sets (see ``linking``), which no two links miss. Pairs are
+estimated jointly by maximum likelihood from the counts of larger, equal and smaller registers, and those that pass, with
+a margin of more than five standard deviations, are verified on their full sets.
 
-Documents with equal sets are one class before anything is paired, so copies cost a row in an aggregation. Classes of a
-bucket are linked through centres (see ``linking``), so a bucket of any size makes no square of pairs.
+Documents with equal sets are one class before anything is paired, so copies cost a row in an aggregation. Classes are
+linked through centres, the one with the fewest shingles of its own first, so a bucket of any size makes no square of
+pairs.
 
-A pair at the threshold shares no band with a probability of (1 - 0.8^5)^32, 3 in a million; more alike, less.
+A text with one link at the threshold shares no band with a probability of (1 - 0.8^5)^32, 3 in a million; more alike, or
+with more links, less.
 
 Defined results: a null text is empty; a document without words has an empty set and is linked with nothing; rows equal
 in id and text get the same result; a null id takes no part in links and its row is kept, alone; texts are read whole; an
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankflow.llm.batches import mix64, shingle_sets
-from bankflow.llm.linking import link_groups, shared_buckets
+from bankflow.llm.linking import link_groups, may_link, rare_keys, shared_buckets
 from bankflow.plans.workspace import materialize
 
 REGISTERS = 160
@@ -101,9 +104,9 @@ def _sketched(words: int):
                 low.append(l)
                 registers.append(sketch(shingles, multipliers).tobytes() if len(shingles) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), pa.array(registers, pa.binary())],
-                ["doc_id", "n_shingles", "high", "low", "registers"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
+                 pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(registers, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "high", "low", "registers"],
             )
 
     return run
@@ -162,21 +165,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Two documents are linked if 100 * intersection >= ``percent`` * union of their sets of ``words``-word shingles.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     members = materialize(rows.mapInArrow(
-        _sketched(words), "doc_id long, n_shingles long, high long, low long, registers binary"), "sketches")
+        _sketched(words), "doc_id long, text_hash long, n_shingles long, high long, low long, registers binary"),
+        "sketches")
     linkable = members.filter("n_shingles > 0 and doc_id is not null")
     classes = materialize(
-        linkable.groupBy("high", "low", "n_shingles", "registers").agg(F.min("doc_id").alias("doc_id"))
-        .withColumn("id", F.monotonically_increasing_id()), "classes",
+        linkable.groupBy("high", "low", "n_shingles", "registers").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"))
+        .select("high", "low", "n_shingles", "registers", "at.*").withColumn("id", F.monotonically_increasing_id()),
+        "classes",
     )
     banded = materialize(classes.select("id", "registers").mapInArrow(_banded, "key long, id long"), "bands")
-    buckets = materialize(shared_buckets(banded), "buckets")
-    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "high", "low")
+    candidates = shared_buckets(banded).select("id").distinct()
+    wanted = classes.join(candidates, "id", "left_semi").select("id", "doc_id", "text_hash", "high", "low")
     sets = materialize(
-        rows.join(wanted, "doc_id").select("id", "high", "low", "text")
+        rows.join(wanted, ["doc_id", "text_hash"]).select("id", "high", "low", "text")
         .mapInArrow(_whole_sets(words), "id long, shingles array<long>").dropDuplicates(["id"]), "sets",
     )
+    buckets = materialize(rare_keys(sets, percent), "rare_buckets")
     sized = classes.select("id", "n_shingles", "registers")
 
     def side(df: DataFrame, name: str, **columns: str) -> DataFrame:
@@ -186,7 +192,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         both = (
             pairs.join(side(sized, "a", n_shingles="n_a", registers="registers_a"), "a")
             .join(side(sized, "b", n_shingles="n_b", registers="registers_b"), "b")
-            .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         )
         likely = both.mapInArrow(_likely(percent / 100 - MARGIN), "a long, b long")
         held = likely.join(side(sets, "a", shingles="set_a"), "a").join(side(sets, "b", shingles="set_b"), "b")
@@ -195,13 +200,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.col("common") * 100 >= (F.size("set_a") + F.size("set_b") - F.col("common")) * percent
         ).select("a", "b")
 
-    roots = link_groups(buckets, verify)
+    roots = link_groups(buckets, verify, may_link(percent), "alone")
     grouped = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     first = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(first, "root").select("high", "low", F.col("n_shingles").alias("_n"), "component_id")
-    matched = linkable.drop("registers").join(named, ["high", "low"]).filter("n_shingles = _n").drop("_n")
-    alone = members.filter("n_shingles = 0 or doc_id is null").drop("registers").withColumn(
+    matched = linkable.drop("registers", "text_hash").join(named, ["high", "low"]).filter("n_shingles = _n").drop("_n")
+    alone = members.filter("n_shingles = 0 or doc_id is null").drop("registers", "text_hash").withColumn(
         "component_id", F.col("doc_id"))
     return matched.unionByName(alone).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
