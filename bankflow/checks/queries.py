@@ -13,21 +13,24 @@ from bankflow.operators import accounts as acc
 from bankflow.operators import countries as cty
 from bankflow.operators import fraud, joins, ledger, prefix, ranking, reconciliation, risk, scd
 from bankflow.plans import incremental as inc
+from bankflow.plans import merges
 from bankflow.plans.workspace import new_path
-from bankflow.schemas import COUNTRIES, CUSTOMER, CUSTOMER_STAGING, LOANS, LOANS_STAGING
+from bankflow.schemas import COUNTRIES, CUSTOMER, CUSTOMER_STAGING, LOANS, LOANS_STAGING, LOANS_STAGING_TIMED
 from bankflow.sources import (
-    SnapshotTable,
+    BucketedTable,
     append_table,
     overwrite_table,
     read_csv_staging,
     read_json_lines,
     read_nested_json,
 )
-from bankflow.streaming import stream_scd1
+from bankflow.streaming import stream_scd1, stream_scd2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPOT_CHECK_CUSTOMERS = (0, 1, 2, 3, 4)
+# Buckets of the merged tables; the test tables are small.
+BUCKETS = 8
 
 
 def times_as_text(df: DataFrame) -> DataFrame:
@@ -183,12 +186,17 @@ def scd1_customer(spark: SparkSession, sf: str) -> DataFrame:
     return times_as_text(scd.scd1_customer(fx.customer_target(spark, sf), fx.customer_staging(spark, sf), fx.DAY_1))
 
 
+def _customers(spark: SparkSession, sf: str, steps: tuple[int, ...] = (2, 3)) -> BucketedTable:
+    """The target with the staging tables of one or two days merged into it."""
+    table = BucketedTable(spark, new_path(spark, "customer"), CUSTOMER, "CustomerID", BUCKETS)
+    merges.seed(table, fx.customer_target(spark, sf))
+    for day, (step, moment) in enumerate(zip(steps, (fx.DAY_1, fx.DAY_2), strict=False), 1):
+        merges.merge_type1(table, fx.customer_staging(spark, sf, step), moment, f"day {day}")
+    return table
+
+
 def scd1_customer_day2(spark: SparkSession, sf: str) -> DataFrame:
-    table = SnapshotTable(spark, new_path(spark, "customer"), CUSTOMER)
-    table.commit(fx.customer_target(spark, sf), "seed")
-    table.commit(scd.scd1_customer(table.read(), fx.customer_staging(spark, sf), fx.DAY_1), "day 1")
-    table.commit(scd.scd1_customer(table.read(), fx.customer_staging(spark, sf, 3), fx.DAY_2), "day 2")
-    return times_as_text(table.read())
+    return times_as_text(_customers(spark, sf).read())
 
 
 def scd1_inserts_only(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,12 +207,11 @@ def scd1_branch(spark: SparkSession, sf: str) -> DataFrame:
     return times_as_text(scd.scd1_branch(fx.branch_target(spark, sf), fx.branch_staging(spark, sf), fx.DAY_1))
 
 
-
-def _loans(spark: SparkSession, sf: str) -> DataFrame:
-    table = SnapshotTable(spark, new_path(spark, "loans"), LOANS)
-    for batch, (day, moment) in enumerate([(1, fx.DAY_1), (2, fx.DAY_2)]):
-        table.commit(scd.scd2_merge(table.read(), fx.loans_staging(spark, sf, day), moment), f"day {batch + 1}")
-    return table.read()
+def _loans(spark: SparkSession, sf: str) -> BucketedTable:
+    table = merges.history_table(spark, new_path(spark, "loans"), LOANS, "LoanID", BUCKETS)
+    for day, moment in ((1, fx.DAY_1), (2, fx.DAY_2)):
+        merges.merge_type2(table, fx.loans_staging(spark, sf, day), moment, f"day {day}")
+    return table
 
 
 def scd2_close(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,15 +225,26 @@ def scd2_loans_literal(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_loans(spark: SparkSession, sf: str) -> DataFrame:
-    return times_as_text(_loans(spark, sf))
+    return times_as_text(_loans(spark, sf).read())
 
 
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
-    return times_as_text(scd.current_rows(_loans(spark, sf)))
+    """Open versions; the closed ones lie apart and are not read."""
+    return times_as_text(_loans(spark, sf).read_open())
 
 
 def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    return times_as_text(scd.rows_as_of(_loans(spark, sf), fx.DAY_1))
+    return times_as_text(scd.rows_as_of(_loans(spark, sf).read(), fx.DAY_1))
+
+
+def scd_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What each merge did with the rows, from the log that it wrote."""
+    logs = [
+        table.log().filter("batch <> 'seed'").select(
+            F.lit(name).alias("table_name"), "batch", "kept", "updated", "inserted", "closed")
+        for name, table in (("customer", _customers(spark, sf)), ("loans", _loans(spark, sf)))
+    ]
+    return logs[0].unionByName(logs[1])
 
 
 def staging_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,14 +259,25 @@ def staging_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def stream_scd1_available_now(spark: SparkSession, sf: str) -> DataFrame:
     staged = new_path(spark, "stream_staging")
     fx.customer_staging(spark, sf).write.parquet(staged)
-    table = SnapshotTable(spark, new_path(spark, "customer"), CUSTOMER)
-    table.commit(fx.customer_target(spark, sf), "seed")
+    table = _customers(spark, sf, ())
     merged = stream_scd1(
         spark, staged, CUSTOMER_STAGING, new_path(spark, "stream_checkpoint"), table, "CustomerID", fx.DAY_1
     )
     return times_as_text(merged)
 
 
+def stream_scd2_available_now(spark: SparkSession, sf: str) -> DataFrame:
+    """The files of both days in one run; every version of a loan enters the history."""
+    staged = new_path(spark, "stream_staging")
+    for day, moment in ((1, fx.DAY_1), (2, fx.DAY_2)):
+        fx.loans_staging(spark, sf, day).withColumn("arrived", F.lit(moment)).write.mode("append").parquet(staged)
+    table = merges.history_table(spark, new_path(spark, "loans"), LOANS, "LoanID", BUCKETS)
+    history = stream_scd2(
+        spark, staged, LOANS_STAGING_TIMED, new_path(spark, "stream_checkpoint"), table, "LoanID", moment="arrived"
+    )
+    return times_as_text(history)
+
+
 # Countries
 
 def country_risk_category(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,5 +415,7 @@ QUERIES: dict[str, Query] = {
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
     "staging_dedup": staging_dedup,
+    "scd_audit": scd_audit,
     "stream_scd1_available_now": stream_scd1_available_now,
+    "stream_scd2_available_now": stream_scd2_available_now,
 }

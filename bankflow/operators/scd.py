@@ -3,6 +3,9 @@
 A daily staging table is far smaller than its target. The changed snapshot is therefore built from joins whose preserved
 side is the target: a small staging side is broadcast by the optimizer and the target is not shuffled; a large one is
 sort-merged, and adaptive execution may split the target where a key is hot.
+
+With ``kind`` a merge names in a column what it did with each row: kept, updated, inserted or closed. Tables that rewrite
+only the touched buckets merge by ``plans/merges.py``.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bankflow.plans.ordered import field, in_ranges, with_next, with_previous, without_range
 from bankflow.schemas import BRANCH, CUSTOMER, LOANS, conform
 
 # The loan columns whose change starts a new version.
@@ -78,6 +82,7 @@ def scd1_merge(
     as_of: dt.datetime,
     stamp: str = "last_update",
     only_changed: bool = False,
+    kind: str | None = None,
 ) -> DataFrame:
     """Type 1: staging values replace those of a matching key, other staging rows are added, both stamped ``as_of``.
 
@@ -91,10 +96,14 @@ def scd1_merge(
     replace = F.coalesce(F.col("_staged"), F.lit(False))
     if only_changed:
         replace = replace & _changed(values)
+    def named(column: Column) -> list[Column]:
+        return [] if kind is None else [column.alias(kind)]
+
+    columns = {c: F.when(replace, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in [*values, stamp]}
     updated = merged.select(
-        key, *[F.when(replace, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in [*values, stamp]]
-    )
-    return conform(updated, schema).unionByName(scd1_inserts(target, staged, key))
+        *[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields],
+        *named(F.when(replace, "updated").otherwise("kept")))
+    return updated.unionByName(scd1_inserts(target, staged, key).select("*", *named(F.lit("inserted"))))
 
 
 def scd1_customer(target: DataFrame, staging: DataFrame, as_of: dt.datetime, only_changed: bool = False) -> DataFrame:
@@ -107,7 +116,7 @@ def scd1_branch(target: DataFrame, staging: DataFrame, as_of: dt.datetime, only_
 
 def scd2_close(
     history: DataFrame, staging: DataFrame, as_of: dt.datetime, key: str = "LoanID",
-    tracked: Sequence[str] = LOAN_TRACKED, null_safe: bool = False,
+    tracked: Sequence[str] = LOAN_TRACKED, null_safe: bool = False, kind: str | None = None,
 ) -> DataFrame:
     """History with the current row closed where a tracked column differs from staging. A key twice in staging fails."""
     require_unique(staging, key)
@@ -119,7 +128,8 @@ def scd2_close(
         "is_current": F.when(close, F.lit(False)).otherwise(F.col("is_current")),
         "valid_to": F.when(close, F.lit(as_of)).otherwise(F.col("valid_to")),
     }
-    return joined.select(*[replaced.get(c, F.col(c)).alias(c) for c in history.columns])
+    named = [] if kind is None else [F.when(close, "closed").otherwise("kept").alias(kind)]
+    return joined.select(*[replaced.get(c, F.col(c)).alias(c) for c in history.columns], *named)
 
 
 def as_current(staging: DataFrame, as_of: dt.datetime, schema: T.StructType = LOANS) -> DataFrame:
@@ -138,14 +148,62 @@ def scd2_append_all(history: DataFrame, staging: DataFrame, as_of: dt.datetime)
 
 def scd2_merge(
     history: DataFrame, staging: DataFrame, as_of: dt.datetime, key: str = "LoanID",
-    tracked: Sequence[str] = LOAN_TRACKED,
+    tracked: Sequence[str] = LOAN_TRACKED, kind: str | None = None,
 ) -> DataFrame:
     """Type 2 as meant: null-safe comparison, and only new or changed rows start a version."""
     current = history.filter(F.col("is_current")).select(key, *tracked)
     staged = _renamed(staging.select(key, *tracked), key)
     unchanged = current.join(staged, key).filter(~_changed(tracked)).select(key).distinct()
     added = staging.join(unchanged, key, "left_anti")
-    return scd2_close(history, staging, as_of, key, tracked, null_safe=True).unionByName(as_current(added, as_of))
+    opened = as_current(added, as_of).select("*", *([] if kind is None else [F.lit("inserted").alias(kind)]))
+    return scd2_close(history, staging, as_of, key, tracked, null_safe=True, kind=kind).unionByName(opened)
+
+
+def scd2_chain(
+    current: DataFrame, staging: DataFrame, moment: str, key: str = "LoanID", tracked: Sequence[str] = LOAN_TRACKED,
+    schema: T.StructType = LOANS, kind: str | None = None, ranges: int | None = None,
+) -> DataFrame:
+    """Type 2 with any number of versions of a key in one staging table, told apart by ``moment``.
+
+    ``current`` holds the open versions of the staged keys (and may hold others). Staged rows follow the open version of
+    their key in the order of ``moment``; one that differs from the row before it (null-safe) starts a version and closes
+    the one before, others are left out. Two rows of a key at one moment, and rows no later than the open version, have no
+    place in the chain and fail the merge. Rows without a key are versions of their own. A key with very many versions
+    spans several tasks.
+    """
+    at, columns = "_at", [f.name for f in schema.fields]
+    staged = staging.select(*staging.columns, F.col(moment).cast("timestamp").alias(at), F.lit(True).alias("_new"))
+    opened = conform(
+        staged.withColumn("is_current", F.lit(True)).withColumn("valid_from", F.col(at))
+        .withColumn("valid_to", F.lit(None).cast("timestamp")), schema)
+    before = current.select(*columns, F.lit(False).alias("_new"))
+    known = before.filter(F.col(key).isNotNull())
+    chain = known.unionByName(opened.filter(F.col(key).isNotNull()).withColumn("_new", F.lit(True)))
+    # The open version comes first, so that rows that are no later than it are seen below.
+    placed = with_previous(
+        in_ranges(chain.withColumn(at, F.struct("_new", "valid_from")), key, at, ranges), key, at,
+        [*tracked, "valid_from"], "_before")
+    late = placed.filter(F.col("_new") & (F.col("valid_from") <= field("_before", "valid_from"))).select(key).first()
+    if late is not None:
+        raise ValueError(f"staging has a row for {key} = {late[0]} that is no later than the version before it")
+    same = F.lit(True)
+    for column in tracked:
+        same = same & F.col(column).eqNullSafe(field("_before", column))
+    versions = placed.filter(~F.col("_new") | F.col("_before").isNull() | ~same)
+    ended = with_next(versions, key, at, ["valid_from"], "_after")
+    closes = F.col("_after").isNotNull() & F.col("is_current")
+    replaced = {
+        "is_current": F.when(closes, F.lit(False)).otherwise(F.col("is_current")),
+        "valid_to": F.when(closes, field("_after", "valid_from")).otherwise(F.col("valid_to")),
+    }
+    kinds = [] if kind is None else [
+        F.when(F.col("_new"), "inserted").when(closes, "closed").otherwise("kept").alias(kind)]
+    chained = without_range(ended).select(*[replaced.get(c, F.col(c)).alias(c) for c in columns], *kinds)
+
+    def alone(rows: DataFrame, what: str) -> DataFrame:
+        return rows.filter(F.col(key).isNull()).select(*columns, *([] if kind is None else [F.lit(what).alias(kind)]))
+
+    return chained.unionByName(alone(before, "kept")).unionByName(alone(opened, "inserted"))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -83,6 +83,8 @@ LOANS_STAGING = _table(
     "StartDate date, LoanType string, PaymentFrequency string, InterestRate double, CustomerID bigint, Status string, "
     "LoanID bigint, Amount double, EndDate date, Collateral string"
 )
+# The same with the time of arrival, for runs that take several days at once.
+LOANS_STAGING_TIMED = T.StructType([*LOANS_STAGING.fields, T.StructField("arrived", T.TimestampType())])
 
 # The nested country payload. Numbers are double and bigint, so whole numbers and large areas both parse.
 _TEXTS = T.ArrayType(_STRING)
