@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import random
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,33 +107,60 @@ def test_payment_to_oneself_matches_once(spark):
     assert joins.accounts_with_payments(accounts, payments).count() == 1
 
 
+def dicts(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def found_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def signs(tables):
+    """Per account: its suspicious transactions, very high payments and low scores, with repeats."""
+    flagged, large, weak = {}, {}, {}
+    for t in dicts(tables["transactions"]):
+        if t["Suspecious"]:
+            flagged.setdefault(t["AccountID"], []).append(t["TransactionID"])
+    for p in dicts(tables["payments"]):
+        if p["Amount"] * p["ExchangeRate"] > 100000:
+            large.setdefault(p["FromAccountID"], []).append(p["PaymentID"])
+    for a in dicts(tables["accounts"]):
+        if a["CreditScore"] < 400:
+            weak.setdefault(None if a["AccountID"] is None else str(a["AccountID"]), []).append(a["CreditScore"])
+    return flagged, large, weak
+
+
+def side_by_side(*sets, accounts):
+    """Combinations of one row of each set of an account; an empty set counts as one None. None meets nothing."""
+    for account in accounts:
+        if account is None:
+            for n, held in enumerate(sets):
+                for value in held.get(None, []):
+                    yield account, *(value if k == n else None for k in range(len(sets)))
+        else:
+            yield from ((account, *values) for values in itertools.product(*(held.get(account, [None]) for held in sets)))
+
+
 @pytest.mark.parametrize("chunk", CHUNKS)
 @pytest.mark.parametrize("seed", [21])
 def test_full_outer_chain(spark, chunk, seed):
     tables = bank(spark, seed)
-    expected = spark.sql("""
-        with st as (select AccountID, TransactionID, Suspecious as Suspicious from transactions where Suspecious),
-          hv as (select FromAccountID as AccountID, PaymentID from payments where Amount * ExchangeRate > 100000),
-          lc as (select AccountID, CreditScore from accounts where CreditScore < 400)
-        select st.AccountID, st.TransactionID, st.Suspicious, hv.AccountID as PaymentAccountID, hv.PaymentID,
-          cast(lc.AccountID as string) as ScoreAccountID, lc.CreditScore
-        from st full join hv on st.AccountID = hv.AccountID
-        full join lc on st.AccountID = cast(lc.AccountID as string)""")
+    flagged, large, weak = signs(tables)
+    expected = [
+        (account, transaction, True, account if payment else None, payment, account if score else None, score)
+        for account, transaction, payment, score in side_by_side(
+            {k: [(v,) for v in held] for k, held in flagged.items()}, {k: [(v,) for v in held] for k, held in large.items()},
+            {k: [(v,) for v in held] for k, held in weak.items()}, accounts=[k for k in flagged if k is not None])
+    ]
+    expected = [(a, t[0], s, pa, p and p[0], sa, c and c[0]) for a, t, s, pa, p, sa, c in expected]
+    expected += [(None, t, True, None, None, None, None) for t in flagged.get(None, [])]
+    expected += [(None, None, None, k, p, None, None) for k, held in large.items() for p in held if k is None or k not in flagged]
+    expected += [(None, None, None, None, None, k, c) for k, held in weak.items() for c in held if k is None or k not in flagged]
     found = joins.full_outer_chain(
         suspicious_transactions(tables["transactions"]), very_high_payments(tables["payments"]),
         low_credit_accounts(tables["accounts"]), chunk,
     )
-    assert_same(found, expected)
-
-
-FRAUD = """
-    with st as (select AccountID, TransactionID, Suspecious as Suspicious from transactions where Suspecious),
-      hv as (select FromAccountID as AccountID, PaymentID from payments where Amount * ExchangeRate > 100000),
-      lc as (select cast(AccountID as string) as AccountID, CreditScore from accounts where CreditScore < 400)
-    select {account} as AccountID, st.TransactionID, cast(hv.PaymentID as string) as PaymentID, st.Suspicious,
-      lc.CreditScore, count(*) as TotalFlaggedEvents
-    from st full join hv on st.AccountID = hv.AccountID full join lc on {join} = lc.AccountID
-    group by 1, st.TransactionID, hv.PaymentID, st.Suspicious, lc.CreditScore"""
+    assert found_rows(found) == sorted(expected, key=repr)
 
 
 @pytest.mark.parametrize("chunk", CHUNKS)
@@ -138,86 +168,108 @@ FRAUD = """
 def test_potential_fraud(spark, chunk, seed):
     t = bank(spark, seed)
     args = t["accounts"], t["transactions"], t["payments"], chunk
-    assert_same(
-        fraud.potential_fraud_accounts(*args), spark.sql(FRAUD.format(account="st.AccountID", join="st.AccountID"))
-    )
-    either = "coalesce(st.AccountID, hv.AccountID)"
-    assert_same(
-        fraud.potential_fraud_accounts_coalesced(*args),
-        spark.sql(FRAUD.format(account="coalesce(st.AccountID, hv.AccountID, lc.AccountID)", join=either)),
-    )
+    flagged, large, weak = ({k: [(v,) for v in held] for k, held in sign.items()} for sign in signs(t))
+
+    def counted(combinations):
+        groups = Counter(
+            (account, a and a[0], b and str(b[0]) if b and b[0] is not None else None, True if a else None, c and c[0])
+            for account, a, b, c in combinations)
+        return sorted(((*key, n) for key, n in groups.items()), key=repr)
+
+    everyone = {*flagged, *large, *weak}
+    assert found_rows(fraud.potential_fraud_accounts_coalesced(*args)) == counted(
+        side_by_side(flagged, large, weak, accounts=everyone))
+    literal = list(side_by_side(flagged, large, weak, accounts=[k for k in flagged if k is not None]))
+    literal += [(None, v, None, None) for v in flagged.get(None, [])]
+    literal += [(None, None, v, None) for k, held in large.items() if k is None or k not in flagged for v in held]
+    literal += [(None, None, None, v) for k, held in weak.items() if k is None or k not in flagged for v in held]
+    assert found_rows(fraud.potential_fraud_accounts(*args)) == counted(literal)
+
+
+def reconciled(payments):
+    out = []
+    for one, other in itertools.permutations(payments, 2):
+        systems = one["ClearingSystem"], other["ClearingSystem"]
+        if one["PaymentID"] != other["PaymentID"] or None in systems or systems[0] == systems[1]:
+            continue
+        gap = abs(one["Amount"] - other["Amount"]) / one["Amount"] * 100 if one["Amount"] else None
+        days = abs((one["PaymentDate"] - other["PaymentDate"]).days)
+        status = "Mismatched" if (gap is not None and gap > 1) or days > 2 else "Matched"
+        out.append((str(one["PaymentID"]), *systems, gap, days, status))
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("chunk", CHUNKS)
 @pytest.mark.parametrize("seed", [41, 42])
 def test_reconciliation(spark, chunk, seed):
     payments = bank(spark, seed)["payments"]
-    difference = "try_divide(abs(p1.Amount - p2.Amount), p1.Amount) * 100"
-    days = "abs(datediff(p1.PaymentDate, p2.PaymentDate))"
-    expected = spark.sql(f"""
-        select cast(p1.PaymentID as string) as PaymentID, p1.ClearingSystem as ClearingSystem1,
-          p2.ClearingSystem as ClearingSystem2, {difference} as AmountDifferencePercent,
-          cast({days} as bigint) as DateDifferenceDays,
-          case when {difference} > 1 or {days} > 2 then 'Mismatched' else 'Matched' end as Status
-        from payments p1 join payments p2 on p1.PaymentID = p2.PaymentID
-        where p1.ClearingSystem <> p2.ClearingSystem""")
-    assert_same(reconciliation.payment_reconciliation(payments, chunk), expected)
-
-
-LEDGER = """
-    with ou as (select AccountID, try_divide(ODLimit - Balance, ODLimit) * 100 as ODUtilizationPercent
-        from accounts where ODLimit > Balance),
-      hfp as (select FromAccountID, ToAccountID, Amount * ExchangeRate as AmountUSD, PaymentDate, MerchantName,
-        Description from payments where Amount * ExchangeRate > 10000 and Currency <> 'USD'),
-      rba as (select AccountID, Balance from accounts
-        where DateOpened >= add_months(date'2001-08-01', -12) and Balance < 1000),
-      ft as (select * from transactions where Status = 'Failed'),
-      efp as (select PaymentID, try_divide(Fee, Amount) * 100 as ExcessiveFeePercent from payments
-        where try_divide(Fee, Amount) > 0.05),
-      mps as (select MerchantName, sum(Amount) as s, avg(Amount) as a, max(Amount) as x, min(Amount) as m,
-        count(*) as n from payments group by MerchantName),
-      cst as (select CustomerSegment, count(*) as n, sum(Amount) as s, avg(Amount) as a from payments
-        group by CustomerSegment),
-      mft as (select AccountID, date_format(to_date(TransactionDate, 'dd-MM-yyyy'), 'yyyy-MM') as m, count(*) as n
-        from transactions where Status = 'Failed' group by 1, 2)
-    select distinct a.AccountID, a.AccountType, a.Balance, a.Currency, a.CreditScore, a.DateOpened, a.ManagerID,
-      a.ODLimit, ou.ODUtilizationPercent, hfp.AmountUSD, hfp.PaymentDate as d2, hfp.MerchantName as m2,
-      hfp.Description as t2, rba.Balance as b2, ft.TransactionID as i3, ft.Amount as a3, ft.Currency as c3,
-      ft.Status as s3, ft.EventTs as e3, ft.Description as t3, efp.ExcessiveFeePercent, mps.s as ms, mps.a as ma,
-      mps.x as mx, mps.m as mm, mps.n as mn, cst.n as cn, cst.s as cs, cst.a as ca, mft.n as fn, p.PaymentID,
-      p.FromAccountID, p.ToAccountID, p.Amount as pa, p.Currency as pc, p.PaymentDate, p.MerchantName,
-      p.Description as pd, p.PaymentType, p.Fee, t.TransactionID, t.TransactionType, t.Amount as ta,
-      t.Currency as tc, t.Status as ts, t.EventTs, t.Description as td, t.TransactionFee, t.TransactionDate,
-      t.Suspecious
-    from accounts a
-    left join payments p on cast(a.AccountID as string) = p.FromAccountID or cast(a.AccountID as string) = p.ToAccountID
-    left join transactions t on cast(a.AccountID as string) = t.AccountID
-    left join ou on a.AccountID = ou.AccountID
-    left join hfp on cast(a.AccountID as string) = hfp.FromAccountID or cast(a.AccountID as string) = hfp.ToAccountID
-    left join rba on a.AccountID = rba.AccountID
-    left join ft on cast(a.AccountID as string) = ft.AccountID
-    left join efp on p.PaymentID = efp.PaymentID
-    left join mps on p.MerchantName = mps.MerchantName
-    left join cst on p.CustomerSegment = cst.CustomerSegment
-    left join mft on cast(a.AccountID as string) = mft.AccountID
-    where ODUtilizationPercent is not null"""
-
-
-@pytest.mark.parametrize(
-    "seed, chunk, few", [(51, 2, True), (52, 2, False), (51, 1_000_000, False), (52, 1_000_000, True)]
-)
-def test_ledger(spark, monkeypatch, seed, chunk, few):
+    assert found_rows(reconciliation.payment_reconciliation(payments, chunk)) == reconciled(dicts(payments))
+
+
+def exact(values):
+    return float(sum(Decimal(str(v)) for v in values))
+
+
+def expected_ledger(tables):
+    """Account by account, from the meaning of the columns."""
+    accounts, payments, transactions = (dicts(tables[n]) for n in ("accounts", "payments", "transactions"))
+
+    def figures(column):
+        """Count, sum, average, largest and least amount per value; a NULL has no figures in a join."""
+        amounts = {}
+        for p in payments:
+            amounts.setdefault(p[column], []).append(p["Amount"])
+        return {k: (len(v), exact(v), exact(v) / len(v), max(v), min(v)) for k, v in amounts.items() if k is not None}
+
+    merchants, segments = figures("MerchantName"), figures("CustomerSegment")
+    fees = {}
+    for p in payments:
+        if p["PaymentID"] is not None and p["Amount"] and p["Fee"] / p["Amount"] > 0.05:
+            fees.setdefault(p["PaymentID"], set()).add(p["Fee"] / p["Amount"] * 100)
+    out = set()
+    for a in accounts:
+        if a["AccountID"] is None:
+            continue
+        me = str(a["AccountID"])
+        paid = [p for p in payments if me in (p["FromAccountID"], p["ToAccountID"])]
+        traded = [t for t in transactions if t["AccountID"] == me]
+        failed = [t for t in traded if t["Status"] == "Failed"]
+        shares = {(b["ODLimit"] - b["Balance"]) / b["ODLimit"] * 100 for b in accounts
+                  if b["AccountID"] == a["AccountID"] and b["ODLimit"] > b["Balance"] and b["ODLimit"] != 0}
+        low = {(b["Balance"],) for b in accounts if b["AccountID"] == a["AccountID"] and b["Balance"] < 1000
+               and b["DateOpened"] is not None and b["DateOpened"] >= dt.date(2000, 8, 1)}
+        high = {(p["Amount"] * p["ExchangeRate"], p["PaymentDate"], p["MerchantName"], p["Description"]) for p in paid
+                if p["Amount"] * p["ExchangeRate"] > 10000 and p["Currency"] not in (None, "USD")}
+        failures = {tuple(t[c] for c in ("TransactionID", "Amount", "Currency", "Status", "EventTs", "Description"))
+                    for t in failed}
+        months = {(n,) for n in Counter(t["TransactionDate"][3:] for t in failed).values()}
+        payments_shown = set()
+        for p in paid:
+            count, total, average, most, least = merchants.get(p["MerchantName"], (None,) * 5)
+            for share in fees.get(p["PaymentID"], {None}):
+                payments_shown.add((
+                    share, total, average, most, least, count, *segments.get(p["CustomerSegment"], (None,) * 3)[:3],
+                    *(p[c] for c in ("PaymentID", "FromAccountID", "ToAccountID", "Amount", "Currency", "PaymentDate",
+                                     "MerchantName", "Description", "PaymentType", "Fee"))))
+        trades = {tuple(t[c] for c in ("TransactionID", "TransactionType", "Amount", "Currency", "Status", "EventTs",
+                                       "Description", "TransactionFee", "TransactionDate", "Suspecious")) for t in traded}
+        own = tuple(a[c] for c in ("AccountID", "AccountType", "Balance", "Currency", "CreditScore", "DateOpened",
+                                   "ManagerID", "ODLimit"))
+        widths = ((low, 1), (high, 4), (failures, 6), (months, 1), (payments_shown, 19), (trades, 10))
+        for share in shares:
+            for l, h, f, m, p, t in itertools.product(*(rows or {(None,) * width} for rows, width in widths)):
+                out.add((*own, share, *h, *l, *f, p[0], *p[1:6], *p[6:9], *m, *p[9:], *t))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed, chunk", [(51, 2), (52, 2), (51, 1_000_000), (52, 1_000_000)])
+def test_ledger(spark, seed, chunk):
     """Repeated accounts, copies and equal segments included; no final DISTINCT on our side."""
     t = bank(spark, seed)
-    if not few:
-        monkeypatch.setattr(ledger, "MAX_BROADCAST_KEYS", -1)
     found = ledger.ledger_flattened(t["accounts"], t["payments"], t["transactions"], AS_OF, chunk)
-    expected = spark.sql(LEDGER).toDF(*ledger.LEDGER_COLUMNS)
-    # Brute force may repeat a row only by the order of a double sum; the sums here are exact in double.
-    left = sorted((tuple(r) for r in found.collect()), key=repr)
-    right = sorted((tuple(r) for r in expected.collect()), key=repr)
+    left = found_rows(found)
     assert len(left) == len(set(left))
-    assert left == right
+    assert left == expected_ledger(t)
 
 
 @pytest.mark.parametrize("chunk", [1, 8])
