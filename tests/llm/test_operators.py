@@ -239,17 +239,33 @@ def test_lines_that_differ_in_numbers_are_verified(spark):
     assert {r["doc_id"] for r in found if r["removed_lines"]} == {6, 8, 10}
 
 
-def test_simhash_of_lines(spark):
-    """Bit by bit from the hashes of the words; copies of a line, in one text or many, do not change it."""
-    lines = [[f"t{j * j % 97}" for j in range(n)] for n in (8, 255, 256, 700)]
-    rows = [(i, "\n".join([" ".join(w)] * (i + 1))) for i, w in enumerate(lines)] * 3
-    found = {r["length"]: r for r in line_dedup.line_sketches(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    hashed = spark.createDataFrame([(" ".join(w), w) for w in lines], "line string, w array<string>").select(
-        F.length("line").alias("length"), F.transform("w", lambda x: F.xxhash64(x)).alias("h")).collect()
-    assert len(found) == len(lines)
-    for r in hashed:
-        bits = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in r["h"]) > len(r["h"]))
-        assert found[r["length"]]["simhash"] % (1 << 64) == bits and 0 < len(found[r["length"]]["keys"]) <= line_dedup.KEYS
+def test_line_sketches():
+    """Each line's sketch depends on its words alone; bits and keys by definition from the hashes of single words."""
+    rng = np.random.default_rng(6)
+    texts = ["", "\n \n", "one", "a b c d e\n\n f  g\n", " ".join(prose(1, 700)) + "\n" + "é ü" * 9]
+    texts += ["\n".join(" ".join(prose(int(s), int(n))) for s, n in zip(rng.integers(0, 99, 5), rng.integers(1, 30, 5), strict=True))
+              for _ in range(20)]
+
+    def sketches(many: list[str]) -> list[dict]:
+        data = np.frombuffer("".join(many).encode(), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(t.encode()) for t in many])])
+        found = line_dedup.line_sketches(data, bounds)
+        return [dict(zip(found, values, strict=True)) for values in zip(*(v.tolist() for v in found.values()), strict=True)]
+
+    found = sketches(texts)
+    lines = [(row, pos, line) for row, t in enumerate(texts) for pos, line in enumerate(t.split("\n")) if line.split()]
+    assert [(f["row"], f["pos"]) for f in found] == [(row, pos) for row, pos, _ in lines]
+    word = {w: sketches([w])[0]["simhash"] for _, _, line in lines for w in line.split()}
+    for f, (_, _, line) in zip(found, lines, strict=True):
+        words = line.split()
+        assert f["length"] == len(line.strip()) and f["fuzzy"] == (len(words) >= 5)
+        assert f["simhash"] == sum(1 << k for k in range(64) if 2 * sum(word[w] >> k & 1 for w in words) > len(words))
+        alone = sketches([" ".join(words)])[0]
+        assert all(f[name] == alone[name] for name in ("class_a", "class_b", "key_0", "key_5"))
+    one, other, rows = (sketches([t])[0] for t in ("paid 12 of 45 today ok", "paid 77 of 10 today ok", "1 22 333 4444 a"))
+    assert one["class_a"] != other["class_a"] and one["simhash"] == other["simhash"] and one["key_0"] == other["key_0"]
+    assert rows["simhash"] != sketches(["5 66 777 8888 a"])[0]["simhash"]
+    assert len({f["class_a"] for f in found}) == len({f["class_b"] for f in found}) == len({" ".join(t.split()) for _, _, t in lines})
 
 
 def test_components(spark):
