@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,6 +128,26 @@ def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return raw.read("transactions").select("TransactionID", "TransactionDate", "Amount", "load_dt")
 
 
+def load_incremental_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where every tenth transaction arrives after its day was loaded: the overlap finds those of its 60 days."""
+    raw = inc.RawLayer(spark, new_path(spark, "raw"))
+    source, spec = fx.transactions(spark, sf), inc.TRANSACTIONS
+    in_time = (spec.day() <= F.lit("2000-06-30").cast("date")) & (F.col("TransactionID") % 10 != 0)
+    inc.load(source.filter(in_time), spec, raw, fx.DAY_1)
+    inc.load(source, spec, raw, fx.DAY_2, overlap_days=60)
+    return raw.read("transactions").select("TransactionID", "TransactionDate", "load_dt")
+
+
+def raw_day_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions of one quarter from a raw table of three batches; the batches of other years are not read."""
+    raw = inc.RawLayer(spark, new_path(spark, "raw"))
+    source, spec = fx.transactions(spark, sf), inc.TRANSACTIONS
+    for last, moment in ((dt.date(1998, 12, 31), fx.DAY_1), (dt.date(2000, 6, 30), fx.DAY_1), (None, fx.DAY_2)):
+        inc.load(source if last is None else source.filter(spec.day() <= F.lit(last)), spec, raw, moment)
+    return raw.read_days(spec, dt.date(2000, 1, 1), dt.date(2000, 3, 31)).select(
+        "TransactionID", "TransactionDate", "Amount")
+
+
 def load_incremental_empty(spark: SparkSession, sf: str) -> DataFrame:
     raw = inc.RawLayer(spark, new_path(spark, "raw"))
     source = fx.payments(spark, sf)
@@ -140,11 +161,14 @@ def load_all_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per load date in a raw table, against the count that the load itself observed."""
+    """Rows per batch of a raw table, against the count that the load itself observed."""
     raw = inc.RawLayer(spark, new_path(spark, "raw"))
     inc.load(fx.transactions(spark, sf), inc.TRANSACTIONS, raw, fx.DAY_1)
-    stored = raw.read("transactions").groupBy("load_dt").agg(F.count(F.lit(1)).alias("stored_rows"))
-    return stored.join(raw.log().select("load_dt", F.col("row_count").alias("observed_rows")), "load_dt")
+    stored = raw.read("transactions", with_batch=True).groupBy("batch", "load_dt").agg(
+        F.count(F.lit(1)).alias("stored_rows"))
+    observed = raw.log().filter("table_name = 'transactions'").select(
+        "batch", "load_dt", F.col("row_count").alias("observed_rows"))
+    return stored.join(observed, ["batch", "load_dt"]).drop("batch")
 
 
 def watermark_max(spark: SparkSession, sf: str) -> DataFrame:
@@ -340,7 +364,9 @@ QUERIES: dict[str, Query] = {
     # incremental loads
     "load_full": load_full,
     "load_incremental": load_incremental,
+    "load_incremental_overlap": load_incremental_overlap,
     "load_incremental_empty": load_incremental_empty,
+    "raw_day_range": raw_day_range,
     "load_all_tables": load_all_tables,
     "load_audit": load_audit,
     "watermark_max": watermark_max,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bankflow.operators.accounts import low_credit_accounts, suspicious_transactions, very_high_payments
 from bankflow.operators.joins import distinct_with_count, full_outer_parts
-from bankflow.plans import DEFAULT_CHUNK, crowded_keys, split_left_join
+from bankflow.plans import DEFAULT_CHUNK, fan_out_left, materialize
+from bankflow.plans.skew import BASE
 from bankflow.schemas import POTENTIAL_FRAUD_ACCOUNTS, conform
 
 _KEY = "AccountKey"
@@ -22,8 +23,8 @@ def _signs(accounts: DataFrame, transactions: DataFrame, payments: DataFrame) ->
 
 
 def _counted(signs: list[DataFrame]) -> list[DataFrame]:
-    """The signs with copies counted. Counting first makes every combination of rows unique."""
-    return [distinct_with_count(sign, f"_n{n}") for n, sign in enumerate(signs, 1)]
+    """The signs with copies counted, written once for all their uses. Counting first makes every combination unique."""
+    return [materialize(distinct_with_count(sign, f"_n{n}"), "signs") for n, sign in enumerate(signs, 1)]
 
 
 def _events(*counts: str) -> Column:
@@ -41,9 +42,8 @@ def potential_fraud_accounts(
     The account is that of the suspicious transaction: payments and scores of accounts without one appear with a NULL
     account and are grouped on what is left. Only those two parts need a second grouping.
     """
-    signs = _signs(accounts, transactions, payments)
-    crowded = crowded_keys(signs, _KEY, chunk)
-    matched, only_payment, only_score = full_outer_parts(*_counted(signs), _KEY, chunk, crowded)
+    signs = _counted(_signs(accounts, transactions, payments))
+    matched, only_payment, only_score, _ = full_outer_parts(*signs, _KEY, chunk)
     matched = matched.select(
         F.col(_KEY).alias("AccountID"), "TransactionID", "PaymentID", "Suspicious", "CreditScore",
         _events("_n1", "_n2", "_n3"),
@@ -61,12 +61,13 @@ def potential_fraud_accounts_coalesced(
     accounts: DataFrame, transactions: DataFrame, payments: DataFrame, chunk: int = DEFAULT_CHUNK
 ) -> DataFrame:
     """The same signs, keyed on whichever input names the account, so that no sign loses its account."""
-    signs = _signs(accounts, transactions, payments)
-    crowded = crowded_keys(signs, _KEY, chunk)
-    suspicious, high, low = _counted(signs)
-    matched, only_payment, only_score = full_outer_parts(suspicious, high, low, _KEY, chunk, crowded)
-    only_payment = split_left_join(only_payment, {"low": low}, _KEY, chunk, crowded)
-    only_score = only_score.join(signs[1].select(_KEY).distinct(), _KEY, "left_anti")
+    suspicious, high, low = _counted(_signs(accounts, transactions, payments))
+    matched, only_payment, only_score, factors = full_outer_parts(suspicious, high, low, _KEY, chunk)
+    if factors is not None:
+        # Payments take the place of the first input in this join.
+        factors = factors.select(_KEY, F.col("_k_second").alias(f"_k_{BASE}"), F.col("_k_third").alias("_k_low"))
+    only_payment = fan_out_left(only_payment, {"low": low}, _KEY, factors)
+    only_score = only_score.join(high.select(_KEY).distinct(), _KEY, "left_anti")
     rows = [
         part.select(F.col(_KEY).alias("AccountID"), *names, _events(*counts))
         for part, names, counts in (

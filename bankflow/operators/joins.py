@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bankflow.functions import EXACT, ratio
 from bankflow.operators.accounts import excessive_fee_payments
-from bankflow.plans import DEFAULT_CHUNK, crowded_keys, left_join, materialize, split_left_join
+from bankflow.plans import DEFAULT_CHUNK, fan_out_left, left_join, materialize, split_layout
+from bankflow.plans.skew import BASE
 
 ACCOUNT_KEY = "AccountKey"
 
@@ -56,8 +57,8 @@ def accounts_with_flag(accounts: DataFrame, flagged: DataFrame, column: str, chu
 def payment_summaries(payments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merchant and segment totals from one pass over the payments.
 
-    The totals per merchant and segment are written out; both results are groupings of that table, whose size then
-    decides between broadcast and shuffle.
+    The totals per merchant and segment are written; both results are groupings of that table. The few segments are
+    written on their own, so that their join knows their size and does not shuffle all payments by a segment.
     """
     amount = F.col("Amount")
     totals = materialize(
@@ -81,7 +82,7 @@ def payment_summaries(payments: DataFrame) -> tuple[DataFrame, DataFrame]:
         total.alias("SegmentTotalAmount"),
         average.alias("SegmentAvgTransactionAmount"),
     )
-    return merchants, segments
+    return merchants, materialize(segments, "segment_totals")
 
 
 def payments_with_derived(payments: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
@@ -99,25 +100,38 @@ def distinct_with_count(df: DataFrame, count: str) -> DataFrame:
 
 
 def full_outer_parts(
-    first: DataFrame, second: DataFrame, third: DataFrame, key: str, chunk: int, crowded: DataFrame | None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    first: DataFrame, second: DataFrame, third: DataFrame, key: str, chunk: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
     """``first FULL JOIN second ON first.key = second.key FULL JOIN third ON first.key = third.key`` in three parts.
 
     The parts are the rows that have a ``first`` row, the ``second`` rows without one and the ``third`` rows without one.
     Both conditions read the key of ``first``, so the last two never meet each other. A full outer join cannot be split
-    at a hot key; the left joins and anti joins here can. Rows must be distinct within each input.
+    at a hot key; the left joins and anti joins here can. Rows must be distinct within each input, and the inputs written,
+    as each is read several times. The layout of the split keys is returned as well.
     """
     # Rows without a key meet nothing. Kept apart, they do not all travel to the one partition of NULL.
     keyed, unkeyed = first.filter(F.col(key).isNotNull()), first.filter(F.col(key).isNull())
-    matched = split_left_join(keyed, {"second": second, "third": third}, key, chunk, crowded)
+    factors = split_layout({BASE: keyed, "second": second, "third": third}, key, chunk)
+    matched = fan_out_left(keyed, {"second": second, "third": third}, key, factors)
     matched = matched.unionByName(unkeyed, allowMissingColumns=True)
     first_keys = keyed.select(key).distinct()
-    return matched, second.join(first_keys, key, "left_anti"), third.join(first_keys, key, "left_anti")
-
-
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Back from one row and a number to that many copies."""
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop("_copy", times)
+    return matched, second.join(first_keys, key, "left_anti"), third.join(first_keys, key, "left_anti"), factors
+
+
+def repeat_rows(df: DataFrame, times: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Back from one row and a number to that many copies. A row with more than ``chunk`` of them is first cut into
+    pieces, which are dealt out before they are repeated."""
+    number, one = F.col(times), F.lit(1).cast("long")
+    # A number of tasks, as adaptive execution would join pieces, which are few bytes before they are repeated.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((number - 1) / chunk))
+    few = df.filter(number <= chunk)
+    many = (
+        df.filter(number > chunk).withColumn("_piece", F.explode(pieces))
+        .withColumn(times, F.least(number - F.col("_piece") * chunk, F.lit(chunk).cast("long"))).drop("_piece")
+        .repartition(tasks)
+    )
+    return few.unionByName(many).withColumn("_copy", F.explode(F.sequence(one, number))).drop("_copy", times)
 
 
 def full_outer_chain(
@@ -130,9 +144,8 @@ def full_outer_chain(
         payments.withColumnRenamed("AccountID", key),
         accounts.select(F.col("AccountID").cast("string").alias(key), "CreditScore"),
     ]
-    counted = [distinct_with_count(df, f"_n{n}") for n, df in enumerate(inputs, 1)]
-    crowded = crowded_keys(inputs, key, chunk)
-    matched, only_second, only_third = full_outer_parts(*counted, key, chunk, crowded)
+    counted = [materialize(distinct_with_count(df, f"_n{n}"), "signs") for n, df in enumerate(inputs, 1)]
+    matched, only_second, only_third, _ = full_outer_parts(*counted, key, chunk)
     columns = {
         "AccountID": "string", "TransactionID": "bigint", "Suspicious": "boolean", "PaymentAccountID": "string",
         "PaymentID": "bigint", "ScoreAccountID": "string", "CreditScore": "bigint",
@@ -149,9 +162,10 @@ def full_outer_chain(
     )
     only_third = only_third.select(F.col(key).alias("ScoreAccountID"), "CreditScore", F.col("_n3").alias("_times"))
     rows = matched.unionByName(only_second, allowMissingColumns=True).unionByName(only_third, allowMissingColumns=True)
-    return repeat_rows(rows, "_times").select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+    return repeat_rows(rows, "_times", chunk).select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
 
 
 def accounts_with_rates(accounts: DataFrame, rates: DataFrame) -> DataFrame:
-    """Inner lookup join. No hint: the optimizer broadcasts ``rates`` when its known size is small and shuffles beyond."""
+    """Inner lookup join. No hint: the optimizer knows the size of ``rates`` when they are literal rows or a written table,
+    broadcasts them when that is small and shuffles beyond."""
     return accounts.select("AccountID", "CustomerID", "Balance", "Currency").join(rates, "Currency")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankflow.operators.accounts import (
@@ -17,12 +17,9 @@ from bankflow.operators.accounts import (
     recent_low_balance_accounts,
 )
 from bankflow.operators.joins import ACCOUNT_KEY, payment_summaries, payments_by_account, with_account_key
-from bankflow.plans import DEFAULT_CHUNK, crowded_keys, fan_out_left, materialize, split_factors
+from bankflow.plans import DEFAULT_CHUNK, fan_out_left, layout_of, materialize, split_layout
 from bankflow.plans.skew import BASE
 
-# A key list up to this many short ids is broadcast to thin out the facts early; a longer one is left to the join itself.
-MAX_BROADCAST_KEYS = 500_000
-
 # Output columns in order.
 LEDGER_COLUMNS = [
     "AccountID", "AccountType", "Balance", "AccountCurrency", "CreditScore", "DateOpened", "ManagerID", "ODLimit",
@@ -71,12 +68,12 @@ def ledger_flattened(
     final DISTINCT and no shuffle after the joins.
     """
     base = materialize(_accounts_in_overdraft(accounts, as_of), "overdraft_accounts")
-    keys = base.select(ACCOUNT_KEY).distinct()
-    few_accounts = keys.count() <= MAX_BROADCAST_KEYS
+    keys = materialize(base.select(ACCOUNT_KEY).distinct(), "overdraft_keys")
 
     def of_base(df: DataFrame, name: str) -> DataFrame:
-        """Rows of accounts in overdraft. A thinned table is written once and then read by all its uses."""
-        return materialize(df.join(F.broadcast(keys), ACCOUNT_KEY, "left_semi"), name) if few_accounts else df
+        """Rows of accounts in overdraft, written once for all their uses. The key table carries its size, by which the
+        optimizer broadcasts or shuffles it."""
+        return materialize(df.join(keys, ACCOUNT_KEY, "left_semi"), name)
 
     merchants, segments = payment_summaries(payments)
     touched = of_base(payments_by_account(payments), "overdraft_payments")
@@ -113,10 +110,21 @@ def ledger_flattened(
         F.col("AccountID").alias(ACCOUNT_KEY), F.col("FailedTransactionCount").alias("MonthlyFailedTransactionCount")
     ).distinct()
 
-    # Accounts with very many rows are found on the plain counts and sized on the distinct rows.
-    sized = {"paid": paid, "traded": traded_rows, "high": high, "failed": failed}
-    crowded = crowded_keys([touched.select(ACCOUNT_KEY), traded.select(ACCOUNT_KEY)], ACCOUNT_KEY, chunk)
-    factors = None if crowded is None else split_factors(sized, ACCOUNT_KEY, chunk, crowded)
+    # The rows of an account before they are made distinct bound those after it. Its months are at most its failures.
+    def of_kind(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, 1)), F.lit(0))
+
+    any_row, failure = F.lit(True), F.col("Status") == "Failed"
+    counts = (
+        base.groupBy(ACCOUNT_KEY).agg(of_kind(any_row).alias(f"_n_{BASE}"))
+        .join(touched.groupBy(ACCOUNT_KEY).agg(
+            of_kind(any_row).alias("_n_paid"), of_kind(is_high_value_foreign()).alias("_n_high")), ACCOUNT_KEY, "left")
+        .join(traded.groupBy(ACCOUNT_KEY).agg(
+            of_kind(any_row).alias("_n_traded"), of_kind(failure).alias("_n_failed"),
+            of_kind(failure).alias("_n_monthly")), ACCOUNT_KEY, "left")
+        .na.fill(0)
+    )
+    factors = layout_of(counts, [BASE, "paid", "high", "traded", "failed", "monthly"], ACCOUNT_KEY, chunk)
 
     with_fees = _with_excessive_fees(paid, payments, chunk).join(merchants, "MerchantName", "left")
     joined = fan_out_left(
@@ -130,7 +138,7 @@ def ledger_flattened(
 
 def _with_excessive_fees(paid: DataFrame, payments: DataFrame, chunk: int) -> DataFrame:
     """Distinct fee shares of the same payment id. The id may repeat, so it gets the same care as the account."""
-    fees = excessive_fee_payments(payments).select("PaymentID", "ExcessiveFeePercent").distinct()
-    crowded = crowded_keys([payments.select("PaymentID")], "PaymentID", chunk)
-    factors = None if crowded is None else split_factors({BASE: paid, "fees": fees}, "PaymentID", chunk, crowded)
+    fees = materialize(excessive_fee_payments(payments).select("PaymentID", "ExcessiveFeePercent").distinct(), "fee_shares")
+    paid = materialize(paid, "paid")
+    factors = split_layout({BASE: paid, "fees": fees}, "PaymentID", chunk)
     return fan_out_left(paid, {"fees": fees}, "PaymentID", factors)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankflow.functions import day_gap, percent
-from bankflow.plans import DEFAULT_CHUNK, crowded_keys, materialize
+from bankflow.plans import DEFAULT_CHUNK, materialize, materialize_counted
 from bankflow.schemas import RECONCILIATION_REPORT, conform
 
 MAX_DIFFERENCE_PERCENT = 1
@@ -26,8 +28,8 @@ def _cells(count: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), count - 1))
 
 
-def _crowded_pairs(rows: DataFrame, crowded: DataFrame, chunk: int) -> DataFrame:
-    """Pairs of the few payments that have very many rows.
+def _crowded_pairs(rows: DataFrame, crowded: DataFrame, side: int) -> DataFrame:
+    """Pairs of the few payments that have very many rows, in cells of ``side`` by ``side`` rows.
 
     Joining on the payment alone would look at every pair of its rows, also where nearly all sit in one clearing system.
     So the pairs of systems come first, from counts, and each row is sent only to the cells where it has partners.
@@ -36,7 +38,7 @@ def _crowded_pairs(rows: DataFrame, crowded: DataFrame, chunk: int) -> DataFrame
     hot = rows.withColumn("_id", F.monotonically_increasing_id()).join(crowded, "PaymentID", "left_semi")
     systems = (
         hot.filter(F.col("ClearingSystem").isNotNull()).groupBy("PaymentID", "ClearingSystem")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias("_k"))
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(side)).cast("int").alias("_k"))
     )
     systems = materialize(systems, "systems")
     pairs = (
@@ -61,15 +63,19 @@ def _crowded_pairs(rows: DataFrame, crowded: DataFrame, chunk: int) -> DataFrame
 
 
 def payment_reconciliation(payments: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Every ordered pair of rows of a payment whose clearing systems differ, marked Matched or Mismatched."""
-    rows = payments.select(*_COLUMNS)
-    crowded = crowded_keys([rows], "PaymentID", chunk)
-    usual = rows if crowded is None else rows.join(crowded, "PaymentID", "left_anti")
+    """Every ordered pair of rows of a payment whose clearing systems differ, marked Matched or Mismatched.
+
+    A payment whose rows could give more than ``chunk`` pairs is split into cells of that many.
+    """
+    rows, side = payments.select(*_COLUMNS), max(1, math.isqrt(chunk))
+    counts = rows.filter(F.col("PaymentID").isNotNull()).groupBy("PaymentID").agg(F.count(F.lit(1)).alias("_n"))
+    crowded, found = materialize_counted(counts.filter(F.col("_n") > side).select("PaymentID"), "crowded_payments")
+    usual = rows.join(crowded, "PaymentID", "left_anti") if found else rows
     pairs = _side(usual, 1).join(_side(usual, 2), "PaymentID").filter(
         F.col("ClearingSystem1") != F.col("ClearingSystem2")
     )
-    if crowded is not None:
-        pairs = pairs.unionByName(_crowded_pairs(rows, crowded, chunk))
+    if found:
+        pairs = pairs.unionByName(_crowded_pairs(rows, crowded, side))
 
     compared = pairs.select(
         "PaymentID", "ClearingSystem1", "ClearingSystem2",

@@ -18,8 +18,9 @@ MEDIUM_RISK_VALUE = 200_000
 
 
 def exchange_rates(spark: SparkSession) -> DataFrame:
-    """The seeded rates as literal rows."""
-    return spark.createDataFrame(SEED_RATES, EXCHANGE_RATES)
+    """The seeded rates as literal rows of a query, whose size the optimizer knows."""
+    rows = ", ".join(f"('{currency}', {rate}D)" for currency, rate in SEED_RATES)
+    return conform(spark.sql(f"SELECT * FROM VALUES {rows} AS rates({', '.join(EXCHANGE_RATES.fieldNames())})"), EXCHANGE_RATES)
 
 
 def portfolio_risk(accounts: DataFrame, rates: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
-from bankflow.plans.skew import DEFAULT_CHUNK, crowded_keys, fan_out_left, left_join, split_factors, split_left_join
-from bankflow.plans.workspace import materialize, new_path, shared_dir
+from bankflow.plans.skew import DEFAULT_CHUNK, fan_out_left, key_counts, layout_of, left_join, split_layout
+from bankflow.plans.workspace import materialize, materialize_counted, new_path, shared_dir
 
 __all__ = [
-    "DEFAULT_CHUNK", "crowded_keys", "fan_out_left", "left_join", "materialize", "new_path", "shared_dir",
-    "split_factors", "split_left_join",
+    "DEFAULT_CHUNK", "fan_out_left", "key_counts", "layout_of", "left_join", "materialize", "materialize_counted",
+    "new_path", "shared_dir", "split_layout",
 ]

@@ -1,9 +1,13 @@
-"""Joins that stay parallel when one key holds a large share of the rows.
+"""Joins that stay parallel when one key holds a large share of the rows, or of the result.
 
 Adaptive execution splits a hot partition only on the preserved side of an outer join, and not at all in a chain of
-joins that share one partitioning. ``fan_out_left`` covers both: keys with more rows than ``chunk`` on any input are cut
-into a grid. Each input picks its own cell on its own axis and is repeated along the other axes, so every combination
-of rows meets in exactly one cell. Keys below the limit stay in one cell and cost nothing extra.
+joins that share one partitioning; and it looks at the rows that go in, not at the product that comes out.
+``fan_out_left`` covers all three: keys whose rows would give more than ``chunk`` rows of output are cut into a grid. Each
+input picks its own cell on its own axis and is repeated along the other axes, so every combination of rows meets in
+exactly one cell. Keys below the limit stay in one cell and cost nothing extra.
+
+The rows of every key are counted once for all inputs of a join, from the key columns alone; only keys that have to be
+split are written, with the number of cells of each input.
 """
 
 from __future__ import annotations
@@ -13,51 +17,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankflow.plans.workspace import materialize
+from bankflow.plans.workspace import materialize_counted
 
+# Rows that a key may give in one task.
 DEFAULT_CHUNK = 1_000_000
 
-# Rows that a key at the limit is expected to leave in the sample; half of them mark it as crowded.
-_SAMPLED_AT_LIMIT = 2_000
-
 BASE = "base"
 
 
-def crowded_keys(inputs: list[DataFrame], key: str, chunk: int) -> DataFrame | None:
-    """Keys that may have more than ``chunk`` rows in an input, or None.
+def key_counts(inputs: dict[str, DataFrame], key: str) -> DataFrame:
+    """``key`` and ``_n_<input>``, the rows of each input: one pass over the key columns, summed up before the shuffle."""
+    marked = [
+        df.select(key, *(F.lit(int(name == other)).cast("long").alias(f"_n_{other}") for other in inputs))
+        for name, df in inputs.items()
+    ]
+    united = reduce(DataFrame.unionByName, marked).filter(F.col(key).isNotNull())
+    return united.groupBy(key).agg(*(F.sum(f"_n_{name}").alias(f"_n_{name}") for name in inputs))
+
+
+def layout_of(counts: DataFrame, names: list[str], key: str, chunk: int) -> DataFrame | None:
+    """One row per key whose product of rows is above ``chunk``, with ``_k_<input>``, the number of cells along the axis of
+    that input; None if there is no such key.
 
-    The check reads the key column of every input and counts a sample of it. It only picks the layout of a join: every row is joined either way, and a key that is picked
-    is then counted in full. At most about (2 x all rows / chunk) keys come
-    back; the written table carries its size, so joins against it are broadcast only while it is small.
+    A cell takes at most the same number of rows from every input that has to be cut, and all rows of the others, so that
+    their product is at most ``chunk``.
     """
-    fraction = min(1.0, _SAMPLED_AT_LIMIT / chunk)
-    limit = chunk if fraction == 1.0 else fraction * chunk / 2
-    counted = [
-        df.select(key).sample(fraction, seed=17).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > limit) & F.col(key).isNotNull()).select(key)
-        for df in inputs
-    ]
-    found = materialize(reduce(DataFrame.unionByName, counted).distinct(), "crowded_keys")
-    return None if found.isEmpty() else found
+    sizes = {name: F.greatest(F.col(f"_n_{name}"), F.lit(1)).cast("double") for name in names}
+    crowded = counts.filter(reduce(Column.__mul__, sizes.values()) > chunk)
+
+    def share(state: Column) -> Column:
+        return F.pow(state["room"], 1 / state["open"])
+
+    # From the smallest input on: one that is within its share is taken whole and leaves more for the others.
+    start = F.struct(F.lit(float(chunk)).alias("room"), F.lit(float(len(names))).alias("open"))
+    state = F.aggregate(F.array_sort(F.array(*sizes.values())), start, lambda acc, n: F.when(
+        n <= share(acc), F.struct((acc["room"] / n).alias("room"), (acc["open"] - 1).alias("open"))).otherwise(acc))
+    side = F.greatest(F.floor(F.when(F.col("_state.open") > 0, share(F.col("_state"))).otherwise(F.lit(chunk))), F.lit(1))
+    factors, rows = materialize_counted(
+        crowded.withColumn("_state", state).withColumn("_side", side)
+        .select(key, *(F.ceil(size / F.col("_side")).cast("int").alias(f"_k_{name}") for name, size in sizes.items())),
+        "split_factors")
+    return factors if rows else None
 
 
-def split_factors(inputs: dict[str, DataFrame], key: str, chunk: int, crowded: DataFrame) -> DataFrame:
-    """One row per crowded key with ``_k_<input>``, the number of cells along the axis of that input."""
-    factors = crowded
-    for name, df in inputs.items():
-        counted = (
-            df.join(crowded, key, "left_semi").groupBy(key)
-            .agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias(f"_k_{name}"))
-        )
-        factors = factors.join(counted, key, "left")
-    return materialize(factors.na.fill(1), "split_factors")
+def split_layout(inputs: dict[str, DataFrame], key: str, chunk: int) -> DataFrame | None:
+    """``layout_of`` the rows of ``inputs``."""
+    return layout_of(key_counts(inputs, key), list(inputs), key, chunk)
 
 
 def _cells(count: Column) -> Column:
     return F.explode(F.when(count == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), count - 1)))
 
 
-def _on_grid(df: DataFrame, own: str, axes: list[str], factors: DataFrame, key: str, spread: Column | None) -> DataFrame:
+def _on_grid(
+    df: DataFrame, own: str, axes: list[str], factors: DataFrame, key: str, spread: Column | None
+) -> DataFrame:
     spread = F.xxhash64(*df.columns) if spread is None else spread
     placed = df.withColumn("_spread", spread).join(factors, key, "left")
     for axis in axes:
@@ -78,7 +92,7 @@ def fan_out_left(
 ) -> DataFrame:
     """Left-join every side to ``base`` on ``key``.
 
-    ``factors`` comes from ``split_factors`` (None when no key is crowded; then this is a plain chain of left joins). A
+    ``factors`` comes from ``split_layout`` (None when no key is crowded; then this is a plain chain of left joins). A
     side without a column in ``factors`` is repeated over the grid. Rows pick their cell by a hash of the whole row,
     which suits inputs without copies; for scan-stage inputs with copies pass ``monotonically_increasing_id()``, whose
     values are the same when a lost task reads its file split again.
@@ -101,21 +115,8 @@ def fan_out_left(
     return joined.select(*wanted)
 
 
-def split_left_join(
-    base: DataFrame,
-    sides: dict[str, DataFrame],
-    key: str,
-    chunk: int,
-    crowded: DataFrame | None,
-    spread: Column | None = None,
-) -> DataFrame:
-    """``fan_out_left`` with an axis for every input, for keys that ``crowded_keys`` has found before."""
-    factors = None if crowded is None else split_factors({BASE: base, **sides}, key, chunk, crowded)
-    return fan_out_left(base, sides, key, factors, spread)
-
-
 def left_join(
     base: DataFrame, side: DataFrame, key: str, chunk: int = DEFAULT_CHUNK, spread: Column | None = None
 ) -> DataFrame:
-    """Two-way form: finds the crowded keys of both inputs, then joins."""
-    return split_left_join(base, {"side": side}, key, chunk, crowded_keys([base, side], key, chunk), spread)
+    """Two-way form: counts the keys of both inputs, then joins."""
+    return fan_out_left(base, {"side": side}, key, split_layout({BASE: base, "side": side}, key, chunk), spread)

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -43,3 +44,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The same, with the number of rows, counted while they are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, seen.get["rows"]

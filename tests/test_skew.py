@@ -11,9 +11,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from bankflow.operators import fraud, joins, ledger, ranking, reconciliation
+from bankflow.operators import fraud, joins, ledger, ranking, reconciliation, risk
 from bankflow.operators.accounts import low_credit_accounts, suspicious_transactions, very_high_payments
-from bankflow.plans import crowded_keys, fan_out_left, left_join, split_factors
+from bankflow.plans import fan_out_left, left_join, split_layout
 from bankflow.plans.skew import BASE
 from tests.helpers import assert_same, bank
 
@@ -41,8 +41,7 @@ def test_fan_out_over_several_axes(spark, seed):
     base = keyed(spark, seed, "x", 9).distinct()
     sides = {"one": keyed(spark, seed + 1, "y", 14).distinct(), "two": keyed(spark, seed + 2, "z", 8).distinct()}
     inputs = {BASE: base, **sides}
-    crowded = crowded_keys(list(inputs.values()), "k", 1)
-    factors = split_factors(inputs, "k", 1, crowded)
+    factors = split_layout(inputs, "k", 1)
     assert factors.agg(F.max("_k_one")).first()[0] > 1
     expected = base.join(sides["one"], "k", "left").join(sides["two"], "k", "left")
     assert_same(fan_out_left(base, sides, "k", factors), expected)
@@ -51,41 +50,89 @@ def test_fan_out_over_several_axes(spark, seed):
 def test_side_outside_the_grid_is_repeated(spark):
     base, one = keyed(spark, 6, "x", 9).distinct(), keyed(spark, 7, "y", 14).distinct()
     plain = keyed(spark, 8, "z", 6).distinct()
-    factors = split_factors({"one": one}, "k", 1, crowded_keys([one], "k", 1))
+    factors = split_layout({"one": one}, "k", 1)
     expected = base.join(one, "k", "left").join(plain, "k", "left")
     assert_same(fan_out_left(base, {"one": one, "plain": plain}, "k", factors), expected)
 
 
-def test_rows_of_a_hot_key_are_spread_over_tasks(spark):
+def test_rows_of_a_hot_key_are_spread_over_tasks(spark, sixteen_tasks):
     base = spark.range(1, 200).select(F.col("id").alias("k"))
     side = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 200).alias("k"), "id")
+    whole = left_join(base, side, "k", 1_000_000)
+    split = left_join(base, side, "k", 500)
+    assert largest_task(whole) > 10_000
+    assert largest_task(split) < 6_000
+    assert split.count() == whole.count()
+
+
+def test_layout_of_a_large_input(spark):
+    """One key in a third of the rows, the others well below the limit."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in split_layout({"only": df}, "k", 10_000).collect()] == [(-1, 2)]
+    assert split_layout({"only": df.filter("k >= 0")}, "k", 10_000) is None
+
+
+def test_layout_looks_at_the_product(spark):
+    """No input is large, but what comes out of a key is; small inputs are not cut."""
+    one = spark.range(3_000).select(F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("k"))
+    other = spark.range(2_000).select(F.when(F.col("id") < 800, 1).otherwise(F.col("id")).alias("k"))
+    few = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    [row] = split_layout({"one": one, "other": other, "few": few}, "k", 20_000).collect()
+    assert row.k == 1 and row["_k_few"] == 1 and (row["_k_one"], row["_k_other"]) == (9, 8)
+    cells = row["_k_one"] * row["_k_other"]
+    assert 900 * 800 * 2 / cells <= 20_000
+    whole = one.join(other, "k", "left").join(few, "k", "left").count()
+    assert fan_out_left(one, {"other": other, "few": few}, "k", split_layout(
+        {BASE: one, "other": other, "few": few}, "k", 20_000), F.monotonically_increasing_id()).count() == whole
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+@pytest.fixture
+def sixteen_tasks(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-
-        def largest_task(df):
-            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-
-        whole = left_join(base, side, "k", 1_000_000)
-        split = left_join(base, side, "k", 500)
-        assert largest_task(whole) > 10_000
-        assert largest_task(split) < 6_000
-        assert split.count() == whole.count()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-
-
-def test_crowded_keys_of_a_large_input(spark):
-    """Found from the sample: one key in a third of the rows, the others well below the limit."""
-    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert [r.k for r in crowded_keys([df], "k", 10_000).collect()] == [-1]
-    assert crowded_keys([df.filter("k >= 0")], "k", 10_000) is None
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_pairs_of_one_payment_are_spread_over_tasks(spark, sixteen_tasks):
+    """30,000 rows of one payment, nearly all in one clearing system: 3.6 million pairs, none of them in one task."""
+    payments = spark.range(30_000).select(
+        F.lit(7).cast("long").alias("PaymentID"), (F.col("id") % 5 * 100.0).alias("Amount"),
+        F.lit(AS_OF).alias("PaymentDate"),
+        F.when(F.col("id") % 500 == 0, "SEPA").otherwise("SWIFT").alias("ClearingSystem"))
+    pairs = reconciliation.payment_reconciliation(payments)
+    expected = 2 * 60 * 29_940
+    assert pairs.count() == expected and largest_task(pairs) < expected / 3
+
+
+def test_copies_of_one_row_are_spread_over_tasks(spark, sixteen_tasks):
+    df = spark.createDataFrame([("a", 100_000), ("b", 3)], "x string, n long")
+    repeated = joins.repeat_rows(df, "n", 1_000)
+    assert repeated.count() == 100_003 and largest_task(repeated) < 30_000
+    assert {r.x: r["count"] for r in repeated.groupBy("x").count().collect()} == {"a": 100_000, "b": 3}
+
+
+def test_lookups_are_broadcast_by_their_known_size(spark):
+    """No shuffle by currency or segment, each of which has a handful of values."""
+    tables = bank(spark, 61)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    rates = plan(joins.accounts_with_rates(tables["accounts"], risk.exchange_rates(spark)))
+    assert "BroadcastHashJoin" in rates and "hashpartitioning(Currency" not in rates
+    chain = plan(joins.payments_with_derived(tables["payments"]))
+    assert "hashpartitioning(CustomerSegment" not in chain
 
 
 @pytest.mark.parametrize("chunk", CHUNKS)

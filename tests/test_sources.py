@@ -13,6 +13,7 @@ from bankflow.schemas import COUNTRIES, CUSTOMER_STAGING, EXCHANGE_RATES
 from bankflow.sources import (
     bounds_query,
     create_if_absent,
+    increment_condition,
     partition_options,
     read_csv_staging,
     read_nested_json,
@@ -140,6 +141,76 @@ def test_jdbc_source_of_a_load(spark, tmp_path, monkeypatch):
     ]
 
 
+def test_jdbc_source_of_an_increment(spark, tmp_path, monkeypatch):
+    """Text dates are compared as dates at the source, in the scan and in the bounds; the overlap reads late rows."""
+    calls = []
+    monkeypatch.setattr(inc, "read_partitioned", lambda *args, **options: calls.append((args[2:], options)))
+    raw = inc.RawLayer(spark, str(tmp_path))
+    dated = spark.createDataFrame([(1, "05-06-2024")], "TransactionID bigint, TransactionDate string")
+    inc.load(dated, inc.TRANSACTIONS, raw, T1)
+    inc.jdbc_source(spark, {}, inc.TRANSACTIONS, raw)
+    inc.jdbc_source(spark, {}, inc.TRANSACTIONS, raw, overlap_days=3)
+    day = "str_to_date(TransactionDate, '%d-%m-%Y')"
+    assert calls == [
+        (("transactions", "TransactionID", 6, day, dt.date(2024, 6, 5)), {}),
+        (("transactions", "TransactionID", 6, day, dt.date(2024, 6, 2)), {"with_nulls": True}),
+    ]
+    assert scan_query("t", where=increment_condition(day, dt.date(2024, 6, 5))) == (
+        f"(select * from t where {day} > date '2024-06-05') src")
+    assert bounds_query("t", "k", day, dt.date(2024, 6, 2), with_nulls=True) == (
+        "(select min(k) as lower_bound, max(k) as upper_bound from t "
+        f"where ({day} > date '2024-06-02' or {day} is null)) bounds")
+    assert increment_condition(day, None, True) == ""
+
+
+def test_rows_without_a_date_are_loaded_once(spark, tmp_path):
+    raw = inc.RawLayer(spark, str(tmp_path))
+
+    def undated(*ids):
+        return spark.createDataFrame([(i, None) for i in ids], "AccountID bigint, DateOpened date")
+
+    assert inc.load(undated(1, 2), inc.ACCOUNTS, raw, T1).row_count == 2
+    assert inc.load(undated(1, 2), inc.ACCOUNTS, raw, T2).row_count == 0
+    assert inc.load(undated(1, 2, 3), inc.ACCOUNTS, raw, T2).row_count == 1
+    inc.load(accounts(spark, (9, 5)), inc.ACCOUNTS, raw, T2)
+    assert inc.load(undated(3, 4), inc.ACCOUNTS, raw, T3).row_count == 0
+    assert inc.load(undated(3, 4), inc.ACCOUNTS, raw, T3, overlap_days=1).row_count == 1
+    assert keys(raw) == [1, 2, 3, 4, 9]
+
+
+def test_day_ranges_read_the_batches_that_have_them(spark, tmp_path):
+    raw = inc.RawLayer(spark, str(tmp_path))
+    assert raw.read_days(inc.ACCOUNTS, dt.date(2001, 7, 1), dt.date(2001, 7, 2)) is None
+    source = spark.createDataFrame(
+        [(i, dt.date(2001, 1 + i // 10, 1 + i % 10)) for i in range(60)], "AccountID bigint, DateOpened date")
+    for month in range(1, 7):
+        inc.load(source.filter(F.month("DateOpened") <= month), inc.ACCOUNTS, raw, T1 if month < 4 else T2)
+
+    def read(first, last):
+        df = raw.read_days(inc.ACCOUNTS, first, last)
+        folders = {f.split("/accounts/")[1].rsplit("/", 1)[0] for f in df.inputFiles() if "/accounts/" in f}
+        return sorted(r.AccountID for r in df.collect()), folders
+
+    first, last = dt.date(2001, 2, 5), dt.date(2001, 3, 2)
+    wanted = list(range(14, 22))
+    assert read(first, last) == (wanted, {"batch=1/load_dt=2001-08-01", "batch=2/load_dt=2001-08-01"})
+    assert read(dt.date(1999, 1, 1), dt.date(1999, 2, 1))[0] == []
+    before = rows(raw.read("accounts"))
+    assert raw.compact(inc.ACCOUNTS, T2.date()) == 6
+    assert rows(raw.read("accounts")) == before and len(raw.batches("accounts")) == 1
+    assert read(first, last)[0] == wanted
+    plan = raw.read_days(inc.ACCOUNTS, first, last)._jdf.queryExecution().executedPlan().toString()
+    assert "(_month" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0] and "2001-03" in plan
+    # A later load goes on after the compaction, from the same mark.
+    extra = source.unionByName(accounts(spark, (77, 9)))
+    assert inc.load(extra, inc.ACCOUNTS, raw, T3).row_count == 1
+    found, folders = read(dt.date(2001, 6, 9), dt.date(2001, 7, 9))
+    assert found == [58, 59, 77] and "batch=7/load_dt=2001-08-03" in folders
+    assert read(dt.date(2001, 7, 1), dt.date(2001, 7, 9)) == ([77], {"batch=7/load_dt=2001-08-03"})
+    assert raw.compact(inc.ACCOUNTS, T3.date()) == 8 and raw.compact(inc.ACCOUNTS, T3.date()) is None
+    assert raw.read("accounts").count() == 61
+
+
 def test_csv_with_a_bad_row_fails(spark, tmp_path):
     (tmp_path / "c.csv").write_text("CustomerID,FirstName,LastName,DateOfBirth,Email,PhoneNumber,Address,BranchID\n"
                                     "x,A,B,1980-01-01,,5,s,1\n")
