@@ -182,6 +182,15 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def test_edit_distance_of_lines():
+    rng = np.random.default_rng(8)
+    pool = ["", "a", "ab", "ba", "é", "kitten", "sitting", "aaaa", "aaab", "x" * 70 + "y", "y" + "x" * 70, " ".join(prose(3, 40))]
+    pool += ["".join(rng.choice(list("abé "), int(n))) for n in rng.integers(1, 90, 25)]
+    for x in pool:
+        for y in pool:
+            assert line_dedup.edit_distance(x, y) == edit_distance(x, y)
+
+
 def test_near_lines_are_found_wherever_they_differ(spark):
     """One word in five, or in ten, is changed, also in the first and last two words; brute force over all pairs."""
     check_near_lines(spark, 5, 0.75)
