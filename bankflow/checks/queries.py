@@ -14,7 +14,7 @@ from bankflow.operators import accounts as acc
 from bankflow.operators import countries as cty
 from bankflow.operators import fraud, joins, ledger, prefix, ranking, reconciliation, risk, scd
 from bankflow.plans import incremental as inc
-from bankflow.plans import merges
+from bankflow.plans import merges, publish
 from bankflow.plans.workspace import new_path
 from bankflow.schemas import COUNTRIES, CUSTOMER, CUSTOMER_STAGING, LOANS, LOANS_STAGING, LOANS_STAGING_TIMED
 from bankflow.sources import (
@@ -23,6 +23,7 @@ from bankflow.sources import (
     overwrite_table,
     read_csv_staging,
     read_json_lines,
+    load_payloads,
     read_nested_json,
 )
 from bankflow.streaming import stream_scd1, stream_scd2
@@ -348,6 +349,31 @@ def union_payloads_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed payloads of which some are error bodies and some have a text as population: how many were taken, and how many
+    lie in quarantine for which reason."""
+    path, quarantine = new_path(spark, "landed"), new_path(spark, "quarantine")
+    number = F.regexp_extract("name.common", "([0-9]+)$", 1).cast("long")
+    good = F.to_json(F.struct(*[f.name for f in COUNTRIES.fields]))
+    fx.countries(spark, sf).select(
+        F.when(number % 11 == 0, F.lit('{"status": "404", "message": "not found"}'))
+        .when(number % 13 == 0, F.lit('{"name": {"common": "Text"}, "region": "Asia", "population": "many"}'))
+        .otherwise(good)
+    ).write.text(path)
+    taken = load_payloads(spark, path, COUNTRIES, ["name.common", "region"], quarantine, multi_line=False)
+    outcomes = taken.select(F.lit("accepted").alias("outcome")).unionByName(
+        spark.read.parquet(quarantine).select(F.col("reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+def report_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All reports, published as tables and read back."""
+    root = new_path(spark, "reports")
+    inputs = _sources(spark, sf) | {"countries": fx.countries(spark, sf)}
+    publish.publish_reports(spark, root, inputs, fx.AS_OF, "day 1")
+    return publish.published_counts(spark, root)
+
+
 def _over(operator: Callable[..., DataFrame], *tables: Callable[[SparkSession, str], DataFrame], **options) -> Query:
     """A query that only hands whole tables to an operator."""
     return lambda spark, sf: operator(*[table(spark, sf) for table in tables], **options)
@@ -430,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "limit_peek": limit_peek,
     "union_payloads": union_payloads,
     "union_payloads_dedup": union_payloads_dedup,
+    "payload_quarantine": payload_quarantine,
+    "report_tables": report_tables,
     # slowly changing dimensions
     "scd1_customer": scd1_customer,
     "scd1_customer_day2": scd1_customer_day2,

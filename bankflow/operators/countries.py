@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bankflow.operators.ranking import top_in_group
 
+# The limits of population below.
 SMALL_POPULATION = 1_000_000
 LARGE_POPULATION = 50_000_000
 
@@ -19,8 +20,19 @@ def union_payloads(payloads: list[DataFrame]) -> DataFrame:
 
 
 def distinct_countries(countries: DataFrame) -> DataFrame:
-    """One row per country name. Maps have no equality, so the rows cannot be compared as a whole."""
-    return countries.withColumn("_name", F.col("name.common")).dropDuplicates(["_name"]).drop("_name")
+    """One row per country: by its three-letter code, or by its common name where it has no code.
+
+    Maps have no equality, so rows are compared by their JSON text. Of unlike rows of one country the least stays, however
+    the rows are partitioned. Rows with neither code nor name are no copies of each other and are all kept.
+    """
+    key = F.coalesce(F.col("cca3"), F.col("name.common"))
+    row = F.struct(*countries.columns)
+    named = (
+        countries.select(key.alias("_key"), row.alias("_row")).filter(F.col("_key").isNotNull())
+        .groupBy("_key").agg(F.min_by("_row", F.to_json("_row", {"ignoreNullFields": "false"})).alias("_row"))
+        .select("_row.*")
+    )
+    return named.unionByName(countries.filter(key.isNull()))
 
 
 def risk_level() -> Column:

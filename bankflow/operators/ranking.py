@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankflow.plans import DEFAULT_CHUNK, materialize
+from bankflow.plans import materialize
 
 
 def top_in_group(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -18,30 +18,19 @@ def top_in_group(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.join(best, F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_best")), "left_semi")
 
 
-def rank_in_group(
-    df: DataFrame, group: str, value: str, chunk: int = DEFAULT_CHUNK, ranges: int | None = None
-) -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, value: str, ranges: int | None = None) -> DataFrame:
     """``rank()`` per group by descending ``value``, NULL values last.
 
-    Groups up to ``chunk`` rows take a plain window. For larger ones the distinct values are counted and cut into value
-    ranges (``ranges`` of them, or as many as adaptive execution finds fit); a rank is the number of rows in the ranges
-    before plus the rank inside the own range.
+    The distinct values of all groups are counted and cut into ranges by group and value (``ranges`` of them, or as many as
+    adaptive execution finds fit); a rank is the number of rows of the group in the ranges before, plus those before it in
+    its own range. So a group of any size is spread over ranges, and rows only travel to find their rank.
     """
-    # bigint, as a group may have more rows than an int counts
-    plain = F.rank().over(Window.partitionBy(group).orderBy(F.col(value).desc())).cast("bigint")
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk)
-    large = materialize(sizes.select(F.col(group).alias("_large")), "large_groups")
-    if large.isEmpty():
-        return df.withColumn("rank", plain)
-
-    in_large = F.col(group).eqNullSafe(F.col("_large"))
-    usual = df.join(large, in_large, "left_anti").withColumn("rank", plain)
-
-    counted = df.join(large, in_large, "left_semi").groupBy(group, value).agg(F.count(F.lit(1)).alias("_rows"))
     order = [F.col(group), F.col(value).desc()]
-    counted = counted.repartitionByRange(*([ranges] if ranges else []), *order)
+    counted = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_rows"))
     # The range number is written with the row, so both uses below see the same cut.
-    counted = materialize(counted.withColumn("_range", F.spark_partition_id()), "ranged_values")
+    counted = materialize(
+        counted.repartitionByRange(*([ranges] if ranges else []), *order).withColumn("_range", F.spark_partition_id()),
+        "ranged_values")
 
     # A group has at most one row per range here, and a range holds what fits one task.
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,7 +51,6 @@ def rank_in_group(
             (F.col("_before") + F.col("_inside") + 1).alias("rank"),
         )
     )
-    ranked = df.join(
+    return df.join(
         ranks, F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
     ).drop("_group", "_value")
-    return usual.unionByName(ranked)

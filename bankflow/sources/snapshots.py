@@ -7,11 +7,11 @@ commit; a writer that died before its commit is replaced by the next attempt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMMITS = "version bigint, batch string"
+_COMMITS = "version bigint, batch string, row_count bigint"
 
 
 class SnapshotTable:
@@ -28,6 +28,11 @@ class SnapshotTable:
     def version(self) -> int | None:
         return self._state("")[0]
 
+    def row_count(self) -> int | None:
+        """Rows of the current version, from the log."""
+        row = self._commits().agg(F.max(F.struct("version", "row_count"))).first()[0]
+        return None if row is None else row["row_count"]
+
     def has_batch(self, batch: str) -> bool:
         return self._state(batch)[1]
 
@@ -44,14 +49,18 @@ class SnapshotTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
 
     def commit(self, df: DataFrame, batch: str) -> int:
-        """Write ``df`` as the next version. A batch that was committed before is not written again."""
+        """Write ``df`` as the next version, its rows counted on the way. A batch that was committed before is not written
+        again."""
         current, done = self._state(batch)
         if done:
             return current
         version = 0 if current is None else current + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        seen = Observation(f"commit_{version}")
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         entry = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(batch).alias("batch")
+            F.lit(version).cast("long").alias("version"), F.lit(batch).alias("batch"),
+            F.lit(seen.get["rows"]).cast("long").alias("row_count"),
         )
         entry.write.mode("append").parquet(f"{self.path}/commits")
         return version

@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 
 from bankflow.operators import countries as cty
 from bankflow.plans import incremental as inc
+from bankflow.plans import publish
 from bankflow.plans.workspace import shared_dir
-from bankflow.schemas import COUNTRIES, CUSTOMER_STAGING, EXCHANGE_RATES
+from bankflow.schemas import COUNTRIES, CUSTOMER_STAGING, EXCHANGE_RATES, PORTFOLIO_RISK
 from bankflow.sources import (
     bounds_query,
     create_if_absent,
     increment_condition,
+    load_payloads,
     partition_options,
+    read_checked_json,
     read_csv_staging,
     read_nested_json,
     save_table,
     scan_query,
 )
-from tests.helpers import rows
+from tests.helpers import bank, rows
 
 T1, T2, T3 = (dt.datetime(2001, 8, n, 6) for n in (1, 2, 3))
 
@@ -249,6 +252,68 @@ def test_multi_line_payloads_are_one_scan(spark, payloads):
     assert sorted(r[0] for r in cty.distinct_countries(df).select("name.common").collect()) == list("ABCDE")
 
 
+def test_payloads_are_held_against_a_contract(spark, payloads, tmp_path):
+    """Error bodies, wrong types and cut files go to quarantine with the name of their file; good rows beside them stay."""
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    (folder / "error.json").write_text('{"status": 404, "message": "not found"}')
+    (folder / "text.json").write_text(json.dumps([dict(country("T", "Asia", 5, {}), population="many")]))
+    (folder / "cut.json").write_text(json.dumps([country("X", "Asia", 1, {})])[:-9])
+    quarantine = str(tmp_path / "quarantine")
+    paths = [*payloads, str(folder)]
+    taken = load_payloads(spark, paths, COUNTRIES, ["name.common"], quarantine)
+    assert sorted(r[0] for r in taken.select("name.common").collect()) == ["A", "A", "B", "C", "D", "E"]
+    assert taken.columns == COUNTRIES.fieldNames()
+    refused = spark.read.parquet(quarantine)
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason) for r in refused.collect()) == [
+        ("cut.json", "unreadable"), ("error.json", "missing name.common"), ("text.json", "unreadable")]
+    assert all(r.payload for r in refused.collect())
+    load_payloads(spark, str(folder), COUNTRIES, ["name.common", "region"], quarantine)
+    assert refused.count() == 3 and spark.read.parquet(quarantine).count() == 6
+    with pytest.raises(ValueError, match="name.short"):
+        read_checked_json(spark, paths, COUNTRIES, ["name.short"])
+
+
+def test_union_of_payloads_does_not_depend_on_partitions(spark, tmp_path):
+    def one(name, code, population):
+        return {"name": {"common": name}, "cca3": code, "population": population}
+
+    found = [one("A", "AAA", 5), one("A", "AAA", 7), one("Another A", "AAA", 6), one("B", None, 1), one("B", None, 1),
+             one(None, None, 3), one(None, None, 3), one(None, "CCC", None), one("C", "CCC", 2)]
+    results = set()
+    for k in range(4):
+        path = tmp_path / f"{k}.json"
+        path.write_text("\n".join(map(json.dumps, found[k:] + found[:k])))
+        df = read_nested_json(spark, str(path), COUNTRIES, multi_line=False).repartition(k + 1)
+        kept = cty.distinct_countries(df).select("name.common", "cca3", "population").collect()
+        results.add(tuple(sorted((tuple(r) for r in kept), key=repr)))
+    assert len(results) == 1
+    assert sorted((r[1] or r[0] or "") for r in results.pop()) == ["", "", "AAA", "B", "CCC"]
+
+
+def test_reports_are_published_whole_and_once(spark, tmp_path):
+    tables = bank(spark, 71)
+    root = str(tmp_path / "reports")
+    inputs = {n: tables[n] for n in ("accounts", "transactions", "payments")}
+    names = ["fee_leakage", "portfolio_risk"]
+    with pytest.raises(ValueError, match="not been published"):
+        publish.ReportTables(spark, root).read("fee_leakage")
+    first = publish.publish_reports(spark, root, inputs, T1.date(), "day 1", names)
+    reports = publish.ReportTables(spark, root)
+    assert first["fee_leakage"] == tables["transactions"].count() == reports.read("fee_leakage").count()
+    assert reports.read("portfolio_risk").schema.fieldNames() == PORTFOLIO_RISK.fieldNames()
+    # A rerun of the batch leaves the tables as they are; a new batch replaces them.
+    fewer = inputs | {"transactions": tables["transactions"].limit(3)}
+    assert publish.publish_reports(spark, root, fewer, T1.date(), "day 1", names) == first
+    assert publish.publish_reports(spark, root, fewer, T1.date(), "day 2", names)["fee_leakage"] == 3
+    # A run that died before its commit.
+    spark.range(9).write.parquet(f"{root}/fee_leakage/v=2")
+    reports.register("fee_leakage")
+    assert spark.table("fee_leakage").count() == 3
+    assert {r.report: r.row_count for r in publish.published_counts(spark, root, names).collect()}["fee_leakage"] == 3
+    spark.catalog.dropTempView("fee_leakage")
+
+
 def test_country_reports(spark, payloads):
     df = cty.distinct_countries(read_nested_json(spark, payloads, COUNTRIES))
     levels = {r[0]: r[1] for r in cty.country_risk_category(df).select("name.common", "risk_level").collect()}
