@@ -1,13 +1,14 @@
-"""Personal data in texts, by regular expressions, checksums and context words; DataFrame functions only.
+"""Personal data and secrets in texts, by regular expressions, checksums and context words; DataFrame functions only.
 
-Regular expressions propose spans. Checksum validators confirm them (Luhn for cards, mod 97 for IBANs), the words just
-before a span raise its score, and a span is reported when its score reaches ``MIN_SCORE``. Kinds whose form alone is
-proof (``BASE_KINDS``) start at that score, so context can only raise them; the added kinds need their checksum or a
-context word.
+Regular expressions propose spans. Checksum validators confirm them (Luhn for cards, mod 97 for IBANs), words near a span,
+before or after it, adjust its score, and a span is reported when its score reaches ``MIN_SCORE``. Kinds whose form alone
+is proof (``BASE_KINDS``) start at that score, so context can only raise them; the added kinds need their checksum or a
+context word. A secret is a long random word of letters and digits beside a word such as token or password.
 
 Patterns are written so that a scan takes time in proportion to the text: runs are taken possessively and only from
 their first character (or where the previous match ended), which finds the same leftmost matches without retrying every
-suffix of a long run, and without recursion on long ones.
+suffix of a long run, and without recursion on long ones. Positions are summed up in chunks of matches, so a text with very
+many of them takes time in proportion too.
 
 Defined results: a null text counts as empty and has no spans; texts of any length are scanned whole; every row gets one
 result, repeated rows too; an empty table gives an empty table; columns of the input are kept, and a column named like
@@ -20,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "national_id", "local_phone")
+ADDED_KINDS = ("iban", "national_id", "local_phone", "secret")
 
 MIN_SCORE = 0.5
 CONTEXT_SCORE = 0.3
 CONTEXT_CHARS = 48
+# Matches whose positions are summed up at once.
+_CHUNK = 256
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
@@ -35,6 +38,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
     "national_id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "local_phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
+    "secret": r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9@.]\S)",
 }
 
 # A text without such characters has no match, and the scan is left out.
@@ -46,10 +50,12 @@ _NEEDS = {
     "iban": lambda text: text.rlike(r"[A-Z]{2}[0-9]{2}"),
     "national_id": lambda text: text.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
     "local_phone": lambda text: text.rlike(r"[0-9]{3}[.-][0-9]{4}"),
+    "secret": lambda text: text.rlike(_CONTEXT["secret"]),
 }
 
 # Score of the form alone, before checksum and context.
-_FORM = {"email": 0.6, "ip": 0.5, "card": 0.5, "phone": 0.6, "iban": 0.8, "national_id": 0.3, "local_phone": 0.3}
+_FORM = {"email": 0.6, "ip": 0.5, "card": 0.5, "phone": 0.6, "iban": 0.8, "national_id": 0.3, "local_phone": 0.3,
+         "secret": 0.3}
 
 _CONTEXT = {
     "email": r"(?i)\b(e-?mail|contact|write to)\b",
@@ -59,6 +65,7 @@ _CONTEXT = {
     "iban": r"(?i)\b(iban|account|bank|transfer)\b",
     "national_id": r"(?i)\b(ssn|social security|national id|id number)\b",
     "local_phone": r"(?i)\b(phone|tel|call|mobile|fax)\b",
+    "secret": r"(?i)(token|secret|passw(?:or)?d|passphrase|credential|bearer|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key)",
 }
 
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -93,45 +100,65 @@ def _confirmed(kind: str, match: Column) -> Column:
         return _mod97(match)
     if kind == "national_id":
         return ~match.rlike(r"^(000|666|9)|-00-|-0000$")
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
     return F.lit(True)
 
 
-def _spans(text: Column, kind: str) -> Column:
-    """Spans of one kind, in order. The gaps between the matches and the matches themselves give the positions."""
-    pattern = F.lit(PATTERNS[kind])
-    # One more gap than matches: the last one meets a null match.
-    pieces = F.arrays_zip(
-        F.split(text, PATTERNS[kind], -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit")
-    )
-    placed = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,hit:string>>").alias("found")),
-        lambda acc, piece: F.struct(
-            (acc["at"] + F.length(piece["gap"]) + F.coalesce(F.length(piece["hit"]), F.lit(0))).alias("at"),
-            F.when(
-                piece["hit"].isNotNull() & F.coalesce(_confirmed(kind, piece["hit"]), F.lit(False)),
-                F.array_append(
-                    F.coalesce(acc["found"], F.array().cast("array<struct<start:int,hit:string>>")),
-                    F.struct((acc["at"] + F.length(piece["gap"])).alias("start"), piece["hit"].alias("hit")),
-                ),
-            ).otherwise(acc["found"]).alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
+def _placed(pieces: Column) -> Column:
+    """Reported spans with their positions, from the lengths of each match and of the gap before it, in order.
+
+    An array grows by copying, so positions are first summed up within chunks of matches and then over the chunks.
+    """
+    none = F.array().cast("array<struct<start:int,size:int,score:double>>")
 
-    def scored(span: Column) -> Column:
-        first = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.substring(text, first + 1, span["start"] - first)
-        bonus = F.when(before.rlike(_CONTEXT[kind]), CONTEXT_SCORE).otherwise(0.0)
-        return F.struct(
-            F.lit(kind).alias("kind"), span["start"].alias("start"),
-            (span["start"] + F.length(span["hit"])).alias("end"),
-            F.least(F.lit(_FORM[kind]) + bonus, F.lit(1.0)).alias("score"),
-        )
+    def within(chunk: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            return F.struct(
+                (start + x["size"]).alias("at"),
+                F.when(x["score"] >= MIN_SCORE, F.array_append(acc["found"], F.struct(
+                    start.alias("start"), x["size"].alias("size"), x["score"].alias("score"))))
+                .otherwise(acc["found"]).alias("found"))
 
-    found = F.transform(F.coalesce(placed, F.array().cast("array<struct<start:int,hit:string>>")), scored)
-    reported = F.filter(found, lambda span: span["score"] >= MIN_SCORE)
-    return F.when(_NEEDS[kind](text), reported).otherwise(F.array().cast(_SPAN)).cast(_SPAN)
+        return F.aggregate(chunk, F.struct(F.lit(0).alias("at"), none.alias("found")), step)
+
+    def joined(acc: Column, chunk: Column) -> Column:
+        moved = F.transform(chunk["found"], lambda s: F.struct(
+            (s["start"] + acc["at"]).alias("start"), s["size"].alias("size"), s["score"].alias("score")))
+        return F.struct((acc["at"] + chunk["at"]).alias("at"), F.concat(acc["found"], moved).alias("found"))
+
+    heads = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces), F.lit(_CHUNK)))
+    chunks = F.transform(F.coalesce(heads, F.array().cast("array<int>")), lambda at: within(F.slice(pieces, at, _CHUNK)))
+    return F.aggregate(
+        chunks, F.struct(F.lit(0).alias("at"), none.alias("found")), joined, lambda acc: acc["found"])
+
+
+def _spans(text: Column, kind: str) -> Column:
+    """Spans of one kind, in order. The gaps between the matches and the matches themselves give the positions."""
+    def of(parts: Column) -> Column:
+        gaps, hits = parts["gaps"], parts["hits"]
+
+        def piece(hit: Column, i: Column) -> Column:
+            gap = F.get(gaps, i)
+            # What stands before a match goes back over the match before it, but not over two.
+            earlier = F.when(i > 0, F.concat(F.right(F.get(gaps, i - 1), F.lit(CONTEXT_CHARS)), F.get(hits, i - 1)))
+            before = F.right(F.concat(F.coalesce(earlier, F.lit("")), gap), F.lit(CONTEXT_CHARS))
+            near = F.concat_ws("\n", before, F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS)))
+            score = F.least(F.lit(_FORM[kind]) + F.when(near.rlike(_CONTEXT[kind]), CONTEXT_SCORE).otherwise(0.0), F.lit(1.0))
+            return F.struct(
+                F.length(gap).alias("gap"), F.length(hit).alias("size"),
+                F.when(F.coalesce(_confirmed(kind, hit), F.lit(False)), score).alias("score"))
+
+        return F.transform(_placed(F.transform(hits, piece)), lambda s: F.struct(
+            F.lit(kind).alias("kind"), s["start"].alias("start"), (s["start"] + s["size"]).alias("end"),
+            s["score"].alias("score")))
+
+    parts = F.struct(
+        F.split(text, PATTERNS[kind], -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)).alias("hits"))
+    found = F.get(F.transform(F.array(parts), of), F.lit(0))
+    return F.when(_NEEDS[kind](text), found).otherwise(F.array().cast(_SPAN)).cast(_SPAN)
 
 
 def find_pii(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
@@ -163,7 +190,8 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFra
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """Per document: counts of the base kinds, a hash of the base spans, and all spans as text."""
+    """Per document: counts of the base kinds, a hash of the base spans, all spans as text, and the counts of secrets and
+    of all spans."""
     found = find_pii(docs.select("doc_id", "text"), "text", "spans")
 
     def listed(spans: Column) -> Column:
@@ -175,5 +203,5 @@ def pii_digest(docs: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return found.select(
         "doc_id", *(count(kind) for kind in BASE_KINDS), F.sha2(listed(base), 256).alias("base_sha256"),
-        listed(F.col("spans")).alias("spans"),
+        listed(F.col("spans")).alias("spans"), count("secret"), F.size("spans").cast("long").alias("n_spans"),
     )

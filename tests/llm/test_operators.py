@@ -97,6 +97,36 @@ def test_bpe(docs, spark):
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
 
 
+def test_pii_positions_of_many_spans(spark):
+    """More spans than a chunk, whole texts; the last one is where it should be."""
+    many = " ".join(f"{i} a{i}@b.org" for i in range(700))
+    table = spark.createDataFrame([(1, many), (2, "é" * 9 + many), (3, "a@b.org" * 3)], "doc_id long, text string")
+    for r in pii.pii_digest(table).collect():
+        text = {1: many, 2: "é" * 9 + many, 3: "a@b.org" * 3}[r["doc_id"]]
+        expected = [(k, a, b) for k, a, b in base_spans(text)]
+        assert r["n_email"] == sum(k == "email" for k, _, _ in expected)
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in expected).encode()).hexdigest()
+
+
+def test_pii_added_kinds(spark):
+    """Checksum or context decides; words after a span count too, far ones do not."""
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = {
+        1: f'token = "{secret}" and on', 2: f"commit {secret}", 3: f"{secret} is the API key", 4: "password: hunter2",
+        5: f"token {'far away ' * 9}{secret}", 6: "the secret passwordless_authentication_methods", 7: "ssn 123-45-6789",
+        8: "part 123-45-6789", 9: "123-45-6789 (social security)", 10: "call 555-123-4567 or 555-123-4568",
+        11: "IBAN DE89370400440532013000 and DE89370400440532013001", 12: None, 13: "",
+    }
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.pii_digest(table).collect()}
+    kinds = {i: [s.split(":")[0] for s in r["spans"].split(",") if s] for i, r in found.items()}
+    assert kinds == {1: ["secret"], 2: [], 3: ["secret"], 4: [], 5: [], 6: [], 7: ["national_id"], 8: [],
+                     9: ["national_id"], 10: ["local_phone"] * 2, 11: ["iban"], 12: [], 13: []}
+    at = texts[1].index(secret)
+    assert found[1]["spans"] == f"secret:{at}:{at + 40}" and found[1]["n_secret"] == found[1]["n_spans"] == 1
+    assert pii.pii_digest(table.limit(0)).collect() == []
+
+
 def test_sharding(docs):
     found = sharding.shard_digest(docs, 4).collect()
     texts = sorted((str(i), len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in texts_of(docs))
