@@ -6,8 +6,8 @@ The other queries rest on tokenizer ranks, sketches or trained models, which SQL
 from __future__ import annotations
 
 from bankflow.llm.quality_rules import (
-    BOILERPLATE, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MAX_SYMBOL_PERCENT, MIN_NAVIGATION_BARS, MIN_SHOUTED_CHARS,
-    MIN_WORDS, WINDOW,
+    BOILERPLATE, CAPITALISED, CLOSED, LONG_LINE_CHARS, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MAX_SYMBOL_PERCENT,
+    MIN_BOILERPLATE_PERCENT, MIN_NAVIGATION_BARS, MIN_SHOUTED_CHARS, MIN_WORDS, SEVERAL_WORDS, WINDOW,
 )
 
 _BLANK = r"[\x20\x09-\x0D]"
@@ -75,7 +75,10 @@ WITH whole AS (
             OR (bars >= {MIN_NAVIGATION_BARS} AND bars * 20 > chars))
         OR NOT regexp_matches(line, '[a-z]') AND chars >= {MIN_SHOUTED_CHARS}
             AND upper(line) = line AND lower(line) <> line
-        OR chars < 120 AND regexp_matches(line, '{BOILERPLATE}')
+        OR NOT regexp_matches(line, '{CLOSED}')
+            AND (regexp_matches(line, '{SEVERAL_WORDS}') OR regexp_matches(line, '{CAPITALISED}'))
+        OR regexp_matches(line, '{BOILERPLATE}') AND (chars < {LONG_LINE_CHARS}
+            OR (chars - length({_without("line", BOILERPLATE)})) * 100 >= chars * {MIN_BOILERPLATE_PERCENT})
     GROUP BY doc_id
 ), line_counts AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines

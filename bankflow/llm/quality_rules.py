@@ -1,8 +1,9 @@
 """Document quality by rules, line first; DataFrame functions only.
 
-Every line is judged on its own: punctuation, navigation and boilerplate rules. Lines that fail are removed, and a
-document that loses too much of its text, or that repeats itself, is rejected. Base figures of the whole text are given
-beside the verdict.
+Every line is judged on its own. Punctuation: a line of several words must close with a mark, and symbols must not take
+its place. Navigation: bars of links, and rows of capitalised words without a closing mark. Boilerplate: stock phrases that
+make up a short line or a good part of a long one; shouting. Lines that fail are removed, and a document that loses too
+much of its text, or that repeats itself, is rejected. Base figures of the whole text are given beside the verdict.
 
 Defined results: a null text counts as empty, has no words and is rejected; texts are read whole; every row gets one
 result, repeated rows too; an empty table gives an empty table; other columns of the input are kept, and columns named
@@ -28,6 +29,13 @@ MAX_LOST_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10
 MIN_NAVIGATION_BARS = 3
 MIN_SHOUTED_CHARS = 12
+# Boilerplate in a line of this many characters or more has to make up this share of it.
+LONG_LINE_CHARS = 120
+MIN_BOILERPLATE_PERCENT = 20
+# A closing mark and blanks at the end of a line; six words; four words or more, each with a capital.
+CLOSED = r"[.!?:;,\x22\x27)\]…。”’»][\x20\x09-\x0D]*\z"
+SEVERAL_WORDS = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){5}[^\x20\x09-\x0D]"
+CAPITALISED = r"^[\x20\x09-\x0D]*(?:\p{Lu}[^\x20\x09-\x0D]*[\x20\x09-\x0D]+){3,}\p{Lu}[^\x20\x09-\x0D]*[\x20\x09-\x0D]*\z"
 BOILERPLATE = (
     r"(?i)\b(?:all rights reserved|cookie policy|we use cookies|privacy policy|terms of (use|service)|click here|"
     r"sign up|log ?in|subscribe|javascript (is|must be)|skip to (main )?content|back to top|share this|"
@@ -60,13 +68,18 @@ def _symbols(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line is removed: symbols instead of punctuation, a bar of links, shouting, or boilerplate."""
+    """Whether a line is removed: no closing mark, symbols instead of punctuation, navigation, shouting, or boilerplate."""
     chars = F.length(line)
     bars = chars - F.length(_without(line, "|"))
     shouted = (~line.rlike("[a-z]")) & (chars >= MIN_SHOUTED_CHARS) & (F.upper(line) == line) & (F.lower(line) != line)
     symbols = line.rlike(_SYMBOL) & (
         (_symbols(line) * 100 > chars * MAX_SYMBOL_PERCENT) | ((bars >= MIN_NAVIGATION_BARS) & (bars * 20 > chars)))
-    return symbols | shouted | ((chars < 120) & line.rlike(BOILERPLATE))
+    # Most lines are closed, and nothing else is asked of them here.
+    unclosed = ~line.rlike(CLOSED) & (line.rlike(SEVERAL_WORDS) | line.rlike(CAPITALISED))
+    stock = chars - F.length(F.regexp_replace(line, BOILERPLATE, ""))
+    boilerplate = line.rlike(BOILERPLATE) & (
+        (chars < LONG_LINE_CHARS) | (stock * 100 >= chars * MIN_BOILERPLATE_PERCENT))
+    return symbols | shouted | unclosed | boilerplate
 
 
 def _repeat_words(words: Column) -> Column:

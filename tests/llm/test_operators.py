@@ -358,6 +358,27 @@ def test_quality_rules(docs):
     assert junk.first()["kept"] is False
 
 
+def test_line_rules(spark):
+    """One line at a time: closing marks, navigation, boilerplate in short and long lines."""
+    lines = {
+        "a sentence of several plain words ends here.": False, "a row of bare words without any end": True,
+        "five bare words stand here": False, "Home About Contact Products": True, "Home About contact Products": False,
+        "A Title Of Four Words.": False, "one | two | three | four": True, "he said (and he meant it all) ": False,
+        "she asked whether that was so\u201d  ": False, "We use cookies": True, "BUY NOW OR NEVER AGAIN": True,
+        "Subscribe here, sign up there, and click here for all that we have in our shop, all rights reserved, and our cookie "
+        "policy with the privacy policy.": True,
+        "It was long ago that he had to click here, as the story goes, and nothing came of it but a tale that was told to "
+        "children at night by the fire.": False, "": False, "   ": False,
+    }
+    table = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    found = {r["line"]: r["fails"] for r in table.select("line", quality_rules.line_fails(F.col("line")).alias("fails")).collect()}
+    assert found == lines
+    words = "\n".join(" ".join(prose(k, 12)) for k in range(13))
+    kept = spark.createDataFrame([(1, words), (2, words.replace("\n", ".\n") + ".")], "doc_id long, text string")
+    assert {r["doc_id"]: r["kept"] for r in quality_rules.quality_digest(kept).collect()} == {1: False, 2: True}
+    assert quality_rules.quality_digest(kept.limit(0)).collect() == []
+
+
 def test_toxicity_reads_misspellings():
     rng = np.random.default_rng(1)
     clean = [" ".join(prose(int(i))) for i in rng.integers(0, 10**6, 200)]
