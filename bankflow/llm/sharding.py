@@ -88,6 +88,10 @@ class SlotMap:
         """``SLOTS`` rows: the bound that lets joins broadcast it."""
         return self.spark.read.schema(self._SCHEMA).parquet(f"{self.path}/v{version}")
 
+    def latest(self) -> int:
+        """Number of the newest version."""
+        return self.spark.read.schema(self._SCHEMA).parquet(f"{self.path}/v*").agg(F.max("version")).first()[0]
+
     def owner(self, version: int) -> list[int]:
         return [r["shard"] for r in self.read(version).orderBy("slot").collect()]
 
@@ -134,6 +138,18 @@ def shard(docs: DataFrame, shards: int = 24, path: str | None = None) -> DataFra
     return records.join(F.broadcast(version), "virtual_slot")
 
 
+def rebalance(records: DataFrame, path: str, shards: int, tolerance: float = 0.02) -> DataFrame:
+    """Edits the newest map under ``path`` for the present bytes of its slots and ``shards`` shards, writes it as the next
+    version and returns the records with ``shard`` and the ``old_shard`` before. A record moves only with its slot."""
+    slot_map = SlotMap(records.sparkSession, path)
+    version = slot_map.latest()
+    owner = slot_map.owner(version)
+    slot_map.write(version + 1, edited(slot_loads(records), owner, shards, tolerance))
+    both = slot_map.read(version).select(F.col("slot").alias("virtual_slot"), F.col("shard").alias("old_shard")).join(
+        slot_map.read(version + 1).select(F.col("slot").alias("virtual_slot"), "shard"), "virtual_slot")
+    return records.drop("shard").join(F.broadcast(both), "virtual_slot")
+
+
 def shard_digest(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Per document: size, checksum, shard, and its place in the shard, numbered from 0 without gaps."""
     placed = shard(docs, shards).withColumn("one", F.lit(1))

@@ -149,6 +149,31 @@ def test_slot_map_edits(spark, tmp_path):
     assert kept.owner(1) == first and kept.owner(2) == grown
 
 
+def test_rebalancing_edits_the_map(spark, tmp_path):
+    """Grown texts and a new shard: the next version of the map has near equal shards, and only whole slots move."""
+    path = str(tmp_path / "map")
+    rows = [(i, "x" * (i * 37 % 900)) for i in range(4000)] + [(5000, "same")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = sharding.shard(docs, 6, path).collect()
+    sizes = Counter()
+    for r in placed:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) - min(sizes.values()) <= 2000 and len(placed) == len(rows)
+    records = sharding.records_of(docs.withColumn("text", F.when(F.col("doc_id") < 300, F.repeat("text", 3)).otherwise(F.col("text"))))
+    for shards, version in ((6, 2), (7, 3)):
+        moved = sharding.rebalance(records, path, shards).collect()
+        sizes, owners = Counter(), {}
+        for r in moved:
+            sizes[r["shard"]] += r["size"]
+            assert owners.setdefault(r["virtual_slot"], (r["old_shard"], r["shard"])) == (r["old_shard"], r["shard"])
+        mean = sum(sizes.values()) / shards
+        assert len(moved) == len(rows) and len(sizes) == shards
+        assert all(abs(n - mean) <= 0.03 * mean for n in sizes.values())
+        assert sharding.SlotMap(spark, path).latest() == version
+    assert all(r["shard"] in (r["old_shard"], 6) for r in moved)
+    assert sharding.shard_digest(docs.limit(0)).collect() == []
+
+
 def test_mixing(spark):
     rows = [(i, " ".join(prose(i, 1 + i % 9)), f"s{i % 4}" if i % 11 else None) for i in range(300)] + [(None, None, "s9")]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
