@@ -2,12 +2,12 @@
 
 A paragraph is a line. Its leaves are its sentences, long ones cut every ``LEAF_WORDS`` words. A section is a run of
 paragraphs that ends at an empty one, or at one whose hash says so, so an edit moves no section border far from it. A
-node's hash is the hash of its children's hashes. The fingerprint is a string: the root's hash, and the leaves' short
-codes, grouped by paragraph (``.``) and section (``/``); the hashes of the inner nodes follow from it.
+node's hash is the hash of its children's hashes. The fingerprint is a string: the root's hash, and short codes of the
+leaves' hashes, grouped by paragraph (``.``) and section (``/``). Inner nodes are told apart by the codes below them.
 
 Equal texts have equal roots and different texts different ones. Equal branches are passed over in a comparison, and the
-leaves of the differing ones locate the edits; the likeness of two fingerprints is the share of leaves that they have in
-common.
+leaves of the differing ones locate the edits, in their order: what was left out, put in or moved. The likeness of two
+fingerprints is the share of leaves that they have in common, whatever their order.
 
 Defined results: a null text counts as empty; the empty text has no leaves, and two texts without leaves are alike (1);
 equal rows get equal results; rows of one id are ordered by length and text; a null id comes before all others; the only
@@ -21,6 +21,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,6 +35,9 @@ _LONG_SENTENCE = 160
 _CODE_BYTES = 3
 _CODE_CHARS = 4
 
+Place = tuple[int, ...]
+Node = tuple[Place, str]
+
 _SENTENCE = re.compile(r"[^.!?]*+[.!?]++\s*+|[^.!?]++")
 _WORDS = re.compile(rf"\s*+(?:\S++\s*+){{1,{LEAF_WORDS}}}|\s++")
 
@@ -94,6 +98,40 @@ def edits(left: str, right: str) -> list[tuple[int, int, int]]:
     ]
 
 
+def located_edits(left: str, right: str) -> list[tuple[str, Place | None, Place | None]]:
+    """What leads from ``left`` to ``right``: ``delete``, ``insert`` or ``move``, and the places (section, paragraph, leaf,
+    from 0) of the leaf in both. Branches are aligned from the top; only those that differ are opened."""
+    def opened(nodes_a: list[Node], nodes_b: list[Node], separator: str) -> Iterator[tuple[list[Node], list[Node]]]:
+        matcher = SequenceMatcher(None, [n[1] for n in nodes_a], [n[1] for n in nodes_b], autojunk=False)
+        for kind, a, b, c, d in matcher.get_opcodes():
+            if kind != "equal":
+                yield tuple(
+                    [((*place, k), code) for place, node in side for k, code in enumerate(
+                        node.split(separator) if separator else
+                        [node[i : i + _CODE_CHARS] for i in range(0, len(node), _CODE_CHARS)])]
+                    for side in (nodes_a[a:b], nodes_b[c:d]))
+
+    gone: list[Node] = []
+    new: list[Node] = []
+    tops = ([((i,), section) for i, section in enumerate(_sections(side))] for side in (left, right))
+    for sections_a, sections_b in opened(*tops, "."):
+        for leaves_a, leaves_b in opened(sections_a, sections_b, ""):
+            matcher = SequenceMatcher(None, [n[1] for n in leaves_a], [n[1] for n in leaves_b], autojunk=False)
+            for kind, a, b, c, d in matcher.get_opcodes():
+                if kind != "equal":
+                    gone += leaves_a[a:b]
+                    new += leaves_b[c:d]
+    arrived: dict[str, list[Place]] = {}
+    for place, code in new:
+        arrived.setdefault(code, []).append(place)
+    moves = [("move", place, arrived[code].pop(0)) for place, code in gone if arrived.get(code)]
+    moved = {m[1] for m in moves}
+    return (
+        [("delete", place, None) for place, _ in gone if place not in moved] + moves
+        + [("insert", None, place) for place in sorted(p for places in arrived.values() for p in places)]
+    )
+
+
 def edited_text(text: str, following: str) -> str:
     half = len(text) // 2
     return text[: len(text) - half] + following[:half]

@@ -221,6 +221,27 @@ def test_fingerprint_locates_edits():
     assert fingerprints.fingerprint("a\nb") != fingerprints.fingerprint("ab")
 
 
+def test_fingerprint_locates_deletions_moves_and_copies():
+    sentences = [f"Sentence number {i} of this text." for i in range(12)]
+    lines = ["  ".join(sentences[i : i + 3]) for i in range(0, 12, 3)]
+    text = "\n\n".join(lines)
+
+    def changes(other: str) -> list[str]:
+        return [kind for kind, _, _ in fingerprints.located_edits(fingerprints.fingerprint(text), fingerprints.fingerprint(other))]
+
+    assert changes(text) == []
+    assert changes(text.replace(sentences[4] + "  ", "")) == ["delete"]
+    assert changes(text + "\n\nA new end.") == ["insert"]
+    assert sorted(changes(text.replace(sentences[4], "Changed."))) == ["delete", "insert"]
+    assert set(changes("\n\n".join([lines[1], lines[0], *lines[2:]]))) == {"move"}
+    copied = changes(text.replace(sentences[7], sentences[1]))
+    assert sorted(copied) == ["delete", "insert"]
+    first = fingerprints.located_edits(fingerprints.fingerprint("A. B. C."), fingerprints.fingerprint("A. X. C."))
+    assert first == [("delete", (0, 0, 1), None), ("insert", None, (0, 0, 1))]
+    swapped = fingerprints.fingerprint("\n\n".join([lines[1], lines[0], *lines[2:]]))
+    assert fingerprints.likeness(fingerprints.fingerprint(text), swapped) == 1.0 and swapped != fingerprints.fingerprint(text)
+
+
 def test_line_dedup(docs):
     clean = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
     assert clean[11]["removed_lines"] == [] and clean[12]["removed_lines"] == [0]
