@@ -137,8 +137,8 @@ def ledger_flattened(
 
 
 def _with_excessive_fees(paid: DataFrame, payments: DataFrame, chunk: int) -> DataFrame:
-    """Distinct fee shares of the same payment id. The id may repeat, so it gets the same care as the account."""
-    fees = materialize(excessive_fee_payments(payments).select("PaymentID", "ExcessiveFeePercent").distinct(), "fee_shares")
-    paid = materialize(paid, "paid")
-    factors = split_layout({BASE: paid, "fees": fees}, "PaymentID", chunk)
+    """Distinct fee shares of the same payment id. The id may repeat, so it gets the same care as the account; the rows of
+    an id bound those of both inputs."""
+    fees = excessive_fee_payments(payments).select("PaymentID", "ExcessiveFeePercent").distinct()
+    factors = split_layout({BASE: payments, "fees": payments}, "PaymentID", chunk)
     return fan_out_left(paid, {"fees": fees}, "PaymentID", factors)

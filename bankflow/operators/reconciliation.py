@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankflow.functions import day_gap, percent
-from bankflow.plans import DEFAULT_CHUNK, materialize, materialize_counted
+from bankflow.plans import DEFAULT_CHUNK, materialize, may_be_crowded
 from bankflow.schemas import RECONCILIATION_REPORT, conform
 
 MAX_DIFFERENCE_PERCENT = 1
@@ -68,13 +68,13 @@ def payment_reconciliation(payments: DataFrame, chunk: int = DEFAULT_CHUNK) -> D
     A payment whose rows could give more than ``chunk`` pairs is split into cells of that many.
     """
     rows, side = payments.select(*_COLUMNS), max(1, math.isqrt(chunk))
-    counts = rows.filter(F.col("PaymentID").isNotNull()).groupBy("PaymentID").agg(F.count(F.lit(1)).alias("_n"))
-    crowded, found = materialize_counted(counts.filter(F.col("_n") > side).select("PaymentID"), "crowded_payments")
-    usual = rows.join(crowded, "PaymentID", "left_anti") if found else rows
+    # Any payment that the sample finds may take the longer way, which gives the same pairs.
+    crowded = may_be_crowded({"rows": rows}, "PaymentID", side)
+    usual = rows if crowded is None else rows.join(crowded, "PaymentID", "left_anti")
     pairs = _side(usual, 1).join(_side(usual, 2), "PaymentID").filter(
         F.col("ClearingSystem1") != F.col("ClearingSystem2")
     )
-    if found:
+    if crowded is not None:
         pairs = pairs.unionByName(_crowded_pairs(rows, crowded, side))
 
     compared = pairs.select(

@@ -87,13 +87,10 @@ class RawLayer:
 
     def batches(self, table: str) -> list[Row]:
         """Log rows of the folders that hold the table: the newest compacted one, and the batches after it."""
-        log = self.log().filter(F.col("table_name") == table)
-        joined = log.filter(F.col("replaces").isNotNull()).agg(F.max(F.struct("replaces", "batch"))).first()[0]
-        kept = log.filter((F.col("row_count") > 0) & (
-            F.lit(joined is None) | (F.col("batch") > F.lit(joined and joined["replaces"]))))
-        if joined is None:
-            return kept.orderBy("batch").collect()
-        return kept.filter(F.col("replaces").isNull() | (F.col("batch") == joined["batch"])).orderBy("batch").collect()
+        log = self.log().filter((F.col("table_name") == table) & (F.col("row_count") > 0)).collect()
+        joined = max((b for b in log if b["replaces"] is not None), key=lambda b: b["batch"], default=None)
+        kept = [b for b in log if joined is None or b["batch"] >= joined["batch"]]
+        return sorted(kept, key=lambda b: b["batch"])
 
     def _read(
         self, table: str, batches: list[Row], with_batch: bool = False, months: tuple[str, str] | None = None
@@ -145,10 +142,13 @@ class RawLayer:
         return batch
 
     def commit(self, result: LoadResult, load_dt: dt.date, replaces: int | None = None) -> None:
-        entry = self.spark.createDataFrame([(
-            result.table_name, result.batch, result.row_count, result.mark, load_dt, result.first_day, result.last_day,
-            result.undated, replaces)], _LOG)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        values = (result.table_name, result.batch, result.row_count, result.mark, load_dt, result.first_day,
+                  result.last_day, result.undated, replaces)
+        names = [column.split()[0] for column in _LOG.split(", ")]
+        types = [column.split()[1] for column in _LOG.split(", ")]
+        entry = self.spark.range(1, numPartitions=1).select(
+            *(F.lit(v).cast(t).alias(n) for v, n, t in zip(values, names, types, strict=True)))
+        entry.write.mode("append").parquet(f"{self.root}/log")
 
 
 def stamp(df: DataFrame, as_of: dt.datetime) -> DataFrame:

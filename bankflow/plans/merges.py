@@ -41,8 +41,6 @@ def merge_type1(
     only_changed: bool = False,
 ) -> MergeCounts | None:
     """Upsert; see ``scd1_merge``."""
-    if table.has_batch(batch):
-        return None
     staging = materialize(staging, "staging")
     return table.merge(staging, lambda old: scd1_merge(
         old, staging, table.key, table.schema, as_of, stamp, only_changed, _KIND), batch)
@@ -52,8 +50,6 @@ def merge_type2(
     table: BucketedTable, staging: DataFrame, as_of: dt.datetime, batch: str, tracked: Sequence[str] = LOAN_TRACKED,
 ) -> MergeCounts | None:
     """One version of a key at most, valid from ``as_of``; see ``scd2_merge``."""
-    if table.has_batch(batch):
-        return None
     staging = materialize(staging, "staging")
     return table.merge(staging, lambda old: scd2_merge(old, staging, as_of, table.key, tracked, _KIND), batch)
 
@@ -62,8 +58,6 @@ def merge_type2_chain(
     table: BucketedTable, staging: DataFrame, moment: str, batch: str, tracked: Sequence[str] = LOAN_TRACKED,
 ) -> MergeCounts | None:
     """All versions of a key that staging has, in the order of ``moment``; see ``scd2_chain``."""
-    if table.has_batch(batch):
-        return None
     staging = materialize(staging, "staging")
     return table.merge(
         staging, lambda old: scd2_chain(old, staging, moment, table.key, tracked, table.schema, _KIND), batch)

@@ -6,8 +6,9 @@ joins that share one partitioning; and it looks at the rows that go in, not at t
 input picks its own cell on its own axis and is repeated along the other axes, so every combination of rows meets in
 exactly one cell. Keys below the limit stay in one cell and cost nothing extra.
 
-The rows of every key are counted once for all inputs of a join, from the key columns alone; only keys that have to be
-split are written, with the number of cells of each input.
+Keys that may be above the limit are found from a sample of the key columns, and those alone are counted in full; only keys
+that have to be split are written, with the number of cells of each input. The sample picks the layout of a join, never
+its rows.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ DEFAULT_CHUNK = 1_000_000
 
 BASE = "base"
 
+# Rows in the sample that an input is expected to have of a key at its share of the limit.
+_SAMPLED_AT_LIMIT = 50
+_SEED = 17
+
 
 def key_counts(inputs: dict[str, DataFrame], key: str) -> DataFrame:
     """``key`` and ``_n_<input>``, the rows of each input: one pass over the key columns, summed up before the shuffle."""
@@ -60,9 +65,24 @@ def layout_of(counts: DataFrame, names: list[str], key: str, chunk: int) -> Data
     return factors if rows else None
 
 
+def may_be_crowded(inputs: dict[str, DataFrame], key: str, chunk: int) -> DataFrame | None:
+    """Keys whose product of rows may be above ``chunk``, by a sample of each input; None if there are none. An input takes
+    part with one sampled row more than it has, so a key that the sample missed there still counts."""
+    fraction = min(1.0, _SAMPLED_AT_LIMIT / chunk ** (1 / len(inputs)))
+    sampled = {name: df.select(key).sample(fraction, seed=_SEED) for name, df in inputs.items()}
+    guesses = [(F.col(f"_n_{name}") + 1) / F.lit(fraction) for name in inputs]
+    found, rows = materialize_counted(
+        key_counts(sampled, key).filter(reduce(Column.__mul__, guesses) > chunk / 2).select(key), "sampled_keys")
+    return found if rows else None
+
+
 def split_layout(inputs: dict[str, DataFrame], key: str, chunk: int) -> DataFrame | None:
-    """``layout_of`` the rows of ``inputs``."""
-    return layout_of(key_counts(inputs, key), list(inputs), key, chunk)
+    """``layout_of`` the rows of ``inputs``, counted for the keys that ``may_be_crowded``."""
+    likely = may_be_crowded(inputs, key, chunk)
+    if likely is None:
+        return None
+    counted = {name: df.select(key).join(likely, key, "left_semi") for name, df in inputs.items()}
+    return layout_of(key_counts(counted, key), list(inputs), key, chunk)
 
 
 def _cells(count: Column) -> Column:
@@ -118,5 +138,5 @@ def fan_out_left(
 def left_join(
     base: DataFrame, side: DataFrame, key: str, chunk: int = DEFAULT_CHUNK, spread: Column | None = None
 ) -> DataFrame:
-    """Two-way form: counts the keys of both inputs, then joins."""
+    """Two-way form: looks at the keys of both inputs, then joins."""
     return fan_out_left(base, {"side": side}, key, split_layout({BASE: base, "side": side}, key, chunk), spread)

@@ -11,6 +11,7 @@ The driver handles the manifest alone: a row for each bucket and piece, whatever
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ KEPT, UPDATED, INSERTED, CLOSED = KINDS = ("kept", "updated", "inserted", "close
 
 _COMMITS = "version bigint, batch string, kept bigint, updated bigint, inserted bigint, closed bigint"
 _MANIFEST = "bucket int, area string, data_version bigint, row_count bigint"
+_MANIFEST_FIELDS = _MANIFEST.replace(" ", ":").replace(",:", ",")
 _OPEN, _SETTLED = "open", "settled"
 
 
@@ -162,8 +164,10 @@ class BucketedTable:
             F.lit(version).cast("long").alias("data_version"), F.count(F.lit(1)).alias("row_count")).collect()
 
     def _commit(self, version: int, pieces: list[Row], batch: str, counts: MergeCounts) -> None:
-        rows = [(p["bucket"], p["area"], p["data_version"], p["row_count"]) for p in pieces]
-        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+        rows = F.from_json(F.lit(json.dumps([p.asDict() for p in pieces])), f"array<struct<{_MANIFEST_FIELDS}>>")
+        self.spark.range(1, numPartitions=1).select(F.inline(rows)).write.mode("overwrite").parquet(
             f"{self.path}/manifest/v={version}")
-        entry = [(version, batch, counts.kept, counts.updated, counts.inserted, counts.closed)]
-        self.spark.createDataFrame(entry, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        values = {"version": version, "batch": batch} | {kind: getattr(counts, kind) for kind in KINDS}
+        entry = self.spark.range(1, numPartitions=1).select(
+            *(F.lit(value).cast("string" if name == "batch" else "long").alias(name) for name, value in values.items()))
+        entry.write.mode("append").parquet(f"{self.path}/commits")
