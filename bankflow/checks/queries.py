@@ -331,9 +331,10 @@ def limit_peek(spark: SparkSession, sf: str) -> DataFrame:
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:
     """One payload per currency, each with the countries that use it, as the landed files have them."""
     root = new_path(spark, "payloads")
-    fx.countries(spark, sf).withColumn("payload", F.explode(F.map_keys("currencies"))).write.partitionBy(
-        "payload"
-    ).json(root)
+    countries = fx.countries(spark, sf)
+    # One write per payload: a partitioned write sorts the rows of each task, and nested rows are far wider than their file.
+    for code, _, _ in fx.CURRENCIES:
+        countries.filter(F.map_contains_key("currencies", code)).write.json(f"{root}/payload={code}")
     return cty.union_payloads([
         read_nested_json(spark, f"{root}/payload={code}", COUNTRIES, multi_line=False) for code, _, _ in fx.CURRENCIES
     ])

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from bankflow.checks.queries import QUERIES
 from bankflow.operators import countries as cty
 from bankflow.plans import incremental as inc
 from bankflow.plans import publish
@@ -339,3 +340,14 @@ def test_catalog_tables(spark, tmp_path):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_currency_without_countries_is_an_empty_payload(spark, tmp_path):
+    """Payloads are written one by one, without sorting the rows by payload, so one may be empty."""
+    customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    customer.filter("c_custkey in (1, 4)").write.parquet(str(tmp_path / "customer.parquet"))
+    for name in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    for query in ("union_payloads", "union_payloads_dedup"):
+        found = QUERIES[query](spark, str(tmp_path)).collect()
+        assert [r["common"] for r in found] == ["Country#000000001"]
