@@ -7,8 +7,10 @@ a rerun of the same batch publishes only what is still missing. The rows are cou
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,9 @@ from bankflow.sources.snapshots import SnapshotTable
 Inputs = dict[str, DataFrame]
 Report = Callable[[SparkSession, Inputs, dt.date], DataFrame]
 
+# Tables written at a time. Few stages of one report keep all cores busy; Spark gives the idle ones to the next report.
+AT_A_TIME = 6
+
 # Name of the table, its declared columns (None: those of the query, as a table made from a select has), and the query.
 REPORTS: dict[str, tuple[T.StructType | None, Report]] = {
     "account_ledger": (None, lambda spark, t, as_of: ledger.ledger_flattened(
@@ -76,17 +81,26 @@ class ReportTables:
         self.read(name).createOrReplaceTempView(name)
 
 
+def _at_once(spark: SparkSession, write: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+    """Result of ``write`` by name. The jobs of the first names go first; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(write), name) for name in names}
+    return {name: job.result() for name, job in jobs.items()}
+
+
 def publish_reports(
     spark: SparkSession, root: str, inputs: Inputs, as_of: dt.date, batch: str, names: list[str] | None = None
 ) -> dict[str, int]:
     """Publish the reports (all by default) over ``inputs``: accounts, transactions, payments and countries. The inputs are
-    written once, as nearly every report reads them."""
-    written = {name: materialize(df, name) for name, df in inputs.items()}
-    tables, counts = ReportTables(spark, root), {}
-    for name in names or REPORTS:
+    written once, as nearly every report reads them. Inputs, then reports, are written several at a time."""
+    written = _at_once(spark, lambda name: materialize(inputs[name], name), inputs)
+    tables = ReportTables(spark, root)
+
+    def publish(name: str) -> int:
         schema, report = REPORTS[name]
-        counts[name] = tables.publish(name, report(spark, written, as_of), batch, schema)
-    return counts
+        return tables.publish(name, report(spark, written, as_of), batch, schema)
+
+    return _at_once(spark, publish, names or REPORTS)
 
 
 def published_counts(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:

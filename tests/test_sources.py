@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -351,3 +352,23 @@ def test_a_currency_without_countries_is_an_empty_payload(spark, tmp_path):
     for query in ("union_payloads", "union_payloads_dedup"):
         found = QUERIES[query](spark, str(tmp_path)).collect()
         assert [r["common"] for r in found] == ["Country#000000001"]
+
+
+def test_reports_are_published_side_by_side(spark, tmp_path, monkeypatch):
+    """Two reports that wait for each other are both published; a failing one leaves the other in place and is raised."""
+    both = threading.Barrier(2, timeout=60)
+
+    def waiting(spark, tables, as_of):
+        both.wait()
+        return tables["accounts"]
+
+    def failing(spark, tables, as_of):
+        raise ValueError("no report")
+
+    monkeypatch.setattr(publish, "REPORTS", {"one": (None, waiting), "two": (None, waiting), "bad": (None, failing)})
+    inputs = {"accounts": spark.range(3).toDF("id")}
+    assert publish.publish_reports(spark, str(tmp_path / "a"), inputs, T1.date(), "day 1", ["one", "two"]) == {
+        "one": 3, "two": 3}
+    with pytest.raises(ValueError, match="no report"):
+        publish.publish_reports(spark, str(tmp_path / "b"), inputs, T1.date(), "day 1")
+    assert publish.ReportTables(spark, str(tmp_path / "b")).read("two").count() == 3
