@@ -7,6 +7,8 @@ commit; a writer that died before its commit is replaced by the next attempt.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +57,8 @@ class SnapshotTable:
         if done:
             return current
         version = 0 if current is None else current + 1
-        seen = Observation(f"commit_{version}")
+        # Tables may be committed side by side, so no two share a name.
+        seen = Observation(f"commit-{uuid.uuid4().hex}")
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         entry = self.spark.range(1, numPartitions=1).select(
