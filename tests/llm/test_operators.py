@@ -297,6 +297,27 @@ def check_near_lines(spark, every: int, recall: float):
     assert len(removed) >= recall * len(expected)
 
 
+def test_near_lines_are_found_without_a_word_in_common(spark, monkeypatch):
+    """One letter is changed in each word, or letters are put in at the end of it, in texts of many lengths and several
+    cells; the same groups as by brute force over all pairs."""
+    monkeypatch.setattr(line_dedup, "CELL_CHARACTERS", 400)
+    monkeypatch.setattr(line_dedup, "STEPS_AT_ONCE", 2)
+    rng, lines = np.random.default_rng(11), []
+    for n in (5, 6, 9, 14, 22, 40):
+        for _ in range(4):
+            base = ["".join(rng.choice(list("abcdefghijklmnopéß"), int(k))) for k in rng.integers(6, 11, n)]
+            lines += [" ".join(base), " ".join(f"{w[:3]}zy{w[4:]}" if len(w) > 9 else f"{w[:3]}z{w[4:]}" for w in base),
+                      " ".join(f"{w}x" for w in base)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    removed = {r["doc_id"] for r in line_dedup.dedup_lines(table).collect() if r["removed_lines"]}
+    root = list(range(len(lines)))
+    for a, x in enumerate(lines):
+        for b, y in enumerate(lines[:a]):
+            if abs(len(x) - len(y)) * 5 <= max(len(x), len(y)) and edit_distance(x, y) * 5 <= max(len(x), len(y)):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    assert removed == {i for i, r in enumerate(root) if r != i} and len(removed) >= 40
+
+
 def test_short_lines_go_as_exact_repeats_only(spark):
     rows = [(1, "Call us now\nread on"), (2, "call  us now!"), (3, "call us new"), (4, "\n \nread on\n"), (None, "read on")]
     found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
