@@ -267,6 +267,26 @@ def test_edit_distance_of_lines():
             assert line_dedup.edit_distance(x, y) == edit_distance(x, y)
 
 
+def test_edit_distances_of_many_pairs():
+    rng = np.random.default_rng(9)
+    for size in (1, 5, 63, 64, 65, 128, 200):
+        first = ["".join(rng.choice(list("abé "), size)) for _ in range(3)]
+        pairs = [(a, "".join(rng.choice(list("abé x"), int(n)))) for a in range(3) for n in rng.integers(1, 2 * size + 2, 8)]
+        # Copies with some letters changed, put in or left out.
+        for a, changes in [(a, k) for a in range(3) for k in (0, 1, size // 10, size // 5, size // 3)]:
+            copy = list(first[a])
+            for at in rng.integers(0, size, changes):
+                copy[at] = copy[at] if len("".join(copy)) <= 1 else str(rng.choice(["", "x", f"{copy[at]}y"]))
+            pairs.append((a, "".join(copy)))
+        texts = [*first, *(b for _, b in pairs)]
+        flat = np.unique(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), return_inverse=True)[1]
+        length = np.array([len(t) for t in texts])
+        begin, of_a = np.cumsum(length) - length, np.array([a for a, _ in pairs])
+        allowed = np.maximum(length[of_a], length[3:]) // 5
+        found = line_dedup.within_distance(flat, (begin[:3], length[:3]), of_a, begin[3:], length[3:], allowed)
+        assert found.tolist() == [edit_distance(first[a], b) <= n for (a, b), n in zip(pairs, allowed.tolist(), strict=True)]
+
+
 def test_near_lines_are_found_wherever_they_differ(spark):
     """One word in five, or in ten, is changed, also in the first and last two words; brute force over all pairs."""
     check_near_lines(spark, 5, 0.75)
