@@ -7,6 +7,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -338,6 +339,38 @@ def test_near_lines_are_found_without_a_word_in_common(spark, monkeypatch):
     assert removed == {i for i, r in enumerate(root) if r != i} and len(removed) >= 40
 
 
+def test_lines_are_not_written_again_for_each_step(spark, monkeypatch):
+    """Tables and shuffles together, with two cells and with dozens: more steps must not deal the texts out more often."""
+    rng = np.random.default_rng(12)
+    letters = list("abcdefghijklmnopqrstuvwxyzαβγδεζηθικλμνξοπρστυφχψω")
+    # Lines of few letters each, so that the letters rule out most pairs.
+    alphabets = [rng.choice(letters, 8, replace=False) for _ in range(260)]
+    lines = [" ".join("".join(rng.choice(own, 8)) for _ in range(160)) for own in alphabets]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(spark.conf.get("spark.checkpoint.dir")), *map(Path, manager.localDirsString())]
+
+    def written(cell_characters: int) -> int:
+        monkeypatch.setattr(line_dedup, "CELL_CHARACTERS", cell_characters)
+        old = {path for folder in folders for path in folder.rglob("*") if path.suffix in (".parquet", ".data")}
+        assert line_dedup.line_dedup_digest(table).filter("n_removed > 0").count() == 0
+        return sum(path.stat().st_size for folder in folders for path in folder.rglob("*")
+                   if path.suffix in (".parquet", ".data") and path not in old)
+
+    assert written(12_000) < 2 * written(1_000_000)
+
+
+def test_near_lines_of_documents_without_an_id_and_of_equal_rows(spark):
+    line = " ".join(prose(21, 30))
+    near, far = f"{line[:-1]}z", " ".join(prose(22, 30))
+    rows = [(None, f"{far}\n{near}"), (None, f"{far}\n{near}"), (3, line), (3, line), (None, "no line\n" + far + "\n" + line)]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    # Of documents without an id, the one with the least hash of its text comes first.
+    removed = [(r["doc_id"], r["text"], r["removed_lines"]) for r in found]
+    assert [r for r in removed if r[0] == 3] == [(3, "", [0])] * 2
+    assert sorted(x[2] for x in removed if x[0] is None) in ([[], [], [1, 2]], [[], [0, 1], [0, 1]])
+
+
 def test_short_lines_go_as_exact_repeats_only(spark):
     rows = [(1, "Call us now\nread on"), (2, "call  us now!"), (3, "call us new"), (4, "\n \nread on\n"), (None, "read on")]
     found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
