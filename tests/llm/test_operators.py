@@ -339,6 +339,48 @@ def test_near_lines_are_found_without_a_word_in_common(spark, monkeypatch):
     assert removed == {i for i, r in enumerate(root) if r != i} and len(removed) >= 40
 
 
+def test_few_pairs_of_unlike_lines_are_verified(monkeypatch):
+    """Lines of the same syllables: the links of brute force, though hardly any other pair gets to the edit distances."""
+    rng = np.random.default_rng(13)
+    syllables = ["the ", "ing ", "er", "on", "at ", "en", "of ", "th", "re", "an ", "tion ", "ea", "nd ", "ha", "ly ", "st"]
+
+    def edited(line: str, edits: int) -> str:
+        letters = list(line)
+        for at in rng.choice(len(letters), edits, replace=False):
+            letters[at] = str(rng.choice(["", "x", letters[at] + "x"]))
+        return "".join(letters)
+
+    verified = []
+    within_distance = line_dedup.within_distance
+
+    def counted(flat, a, of_a, *rest):
+        verified.append(len(of_a))
+        return within_distance(flat, a, of_a, *rest)
+
+    monkeypatch.setattr(line_dedup, "within_distance", counted)
+    for size, most in ((10, 1), (30, 0.06), (90, 0.06), (220, 0.25), (420, 0.25)):
+        base = ["".join(rng.choice(syllables, int(n)))[:size] for n in rng.integers(size // 2, size, 60)]
+        # Edits all over the line, up to what is allowed and beyond; letters that all others move by, and repeats of one run.
+        lines = base + [edited(x, int(len(x) * share)) for x in base[:12] for share in (0.1, 0.19, 0.2, 0.24)]
+        lines += [x[len(x) // 5 :] for x in base[12:18]] + [x[: size // 2] + "the " * (size // 25) + x[size // 2 :] for x in base[18:24]]
+        lines += [("ab " * size)[: len(x)] for x in base[24:30]]
+        lines = list(dict.fromkeys(x for x in lines if x))
+        for side in (np.zeros(len(lines), int), np.arange(len(lines)) % 2):
+            expected, root, verified[:] = list(range(len(lines))), list(range(len(lines))), []
+            for a, x in enumerate(lines):
+                for b, y in enumerate(lines[:a]):
+                    longer = max(len(x), len(y))
+                    if (not side.any() or side[a] != side[b]) and abs(len(x) - len(y)) * 5 <= longer and (
+                            line_dedup.edit_distance(x, y) * 5 <= longer):
+                        expected = [min(expected[a], expected[b]) if r in (expected[a], expected[b]) else r for r in expected]
+            ids = np.arange(len(lines))
+            for a, b in line_dedup._links_of_cells(lines, ids, ids.copy(), side):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+            near = len(lines) - len(set(expected))
+            assert root == expected and near >= 15
+            assert sum(verified) <= near * 3 + most * len(lines) ** 2 / 2
+
+
 def test_lines_are_not_written_again_for_each_step(spark, monkeypatch):
     """Tables and shuffles together, with two cells and with dozens: more steps must not deal the texts out more often."""
     rng = np.random.default_rng(12)
