@@ -286,6 +286,11 @@ def test_edit_distances_of_many_pairs():
         allowed = np.maximum(length[of_a], length[3:]) // 5
         found = line_dedup.within_distance(flat, (begin[:3], length[:3]), of_a, begin[3:], length[3:], allowed)
         assert found.tolist() == [edit_distance(first[a], b) <= n for (a, b), n in zip(pairs, allowed.tolist(), strict=True)]
+        # The same with few pairs at once.
+        for k in range(0, len(pairs), 2):
+            one = slice(k, k + 2)
+            assert found[one].tolist() == line_dedup.within_distance(
+                flat, (begin[:3], length[:3]), of_a[one], begin[3:][one], length[3:][one], allowed[one]).tolist()
 
 
 def test_near_lines_are_found_wherever_they_differ(spark):
@@ -381,6 +386,47 @@ def test_few_pairs_of_unlike_lines_are_verified(monkeypatch):
             assert sum(verified) <= near * 3 + most * len(lines) ** 2 / 2
 
 
+def test_long_lines_of_few_syllables_are_ruled_out(monkeypatch):
+    """Lines of 400 to 1,500 letters that share most of their runs: near copies are linked, and only a part of the other pairs is verified."""
+    rng = np.random.default_rng(14)
+    syllables = ["the ", "ing ", "er", "on", "at ", "en", "of ", "th", "re", "an ", "tion ", "ea", "nd ", "ha", "ly ", "st", "sh", "is "]
+    verified = []
+    within_distance = line_dedup.within_distance
+
+    def counted(flat, a, of_a, *rest):
+        verified.append(len(of_a))
+        return within_distance(flat, a, of_a, *rest)
+
+    monkeypatch.setattr(line_dedup, "within_distance", counted)
+    for size, most in ((400, 0.1), (900, 0.35), (1500, 1)):
+        base = ["".join(rng.choice(syllables, size))[:size] for _ in range(150)]
+        lines, family = list(base), list(range(150))
+        fifth = size // 5
+
+        def copy(text: str, of: int) -> None:
+            if line_dedup.edit_distance(text, base[of]) * 5 <= max(len(text), size):
+                lines.append(text)
+                family.append(of)
+
+        for k in range(0, 60, 5):
+            letters = list(base[k])
+            # Spread evenly, so that every part has its share; then all in one place; then the whole line moved.
+            for at in range(2, size - 3, 5):
+                letters[at] = "x"
+            copy("".join(letters), k)
+            copy(f"{base[k + 1][: size // 3]}{'x' * fifth}{base[k + 1][size // 3 + fifth :]}", k + 1)
+            copy(base[k + 2][fifth:], k + 2)
+            copy(base[k + 3][: size // 2] + "th on " * (fifth // 6) + base[k + 3][size // 2 :], k + 3)
+            copy("th" * (fifth // 4) + base[k + 4][: size - fifth // 2], k + 4)
+        for side in (np.zeros(len(lines), int), np.arange(len(lines)) >= 150):
+            verified[:] = []
+            ids = np.arange(len(lines))
+            links = line_dedup._links_of_cells(lines, ids, ids.copy(), side.astype(int))
+            assert len(lines) >= 200 and {frozenset(x) for x in links} == {
+                frozenset((i, of)) for i, of in enumerate(family) if i >= 150}
+            assert sum(verified) <= len(links) + most * len(lines) ** 2 / 2
+
+
 def test_lines_are_not_written_again_for_each_step(spark, monkeypatch):
     """Tables and shuffles together, with two cells and with dozens: more steps must not deal the texts out more often."""
     rng = np.random.default_rng(12)
